@@ -80,7 +80,7 @@ QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_state, p2_found, p2_s
 
 _P1 = """
 WITH refs AS (
-  SELECT 'member_table' AS src, member_id AS row_id, nullif(upper(trim(ipr_id)), '') AS k, loaded_at AS at FROM member_table
+  SELECT 'member_table' AS src, member_id AS row_id, nullif(upper(trim(ipr_id)), '') AS k, loaded_at AS ts FROM member_table
   UNION ALL
   SELECT 'uniprot_idmapping', map_id, regexp_replace(nullif(upper(trim(uniprot_id)), ''), '-[0-9]+$', ''), loaded_at FROM uniprot_idmapping),
 recs AS (
@@ -88,8 +88,8 @@ recs AS (
   UNION ALL
   SELECT DISTINCT 'uniprot_idmapping', accession, loaded_at, retired_at FROM uniprot_ref),
 orphan AS (
-  SELECT r.src, r.row_id, r.k, r.at FROM refs r WHERE r.k IS NOT NULL AND NOT EXISTS (
-    SELECT 1 FROM recs e WHERE e.src = r.src AND e.k = r.k AND e.loaded_at <= r.at AND (e.retired_at IS NULL OR e.retired_at > r.at)))
+  SELECT r.src, r.row_id, r.k, r.ts FROM refs r WHERE r.k IS NOT NULL AND NOT EXISTS (
+    SELECT 1 FROM recs e WHERE e.src = r.src AND e.k = r.k AND e.loaded_at <= r.ts AND (e.retired_at IS NULL OR e.retired_at > r.ts)))
 """
 _P6 = """
 WITH RECURSIVE e AS (
@@ -101,8 +101,8 @@ t AS (
   SELECT e.c, t.root, t.depth + 1, t.path || '/' || e.c FROM t JOIN e ON e.p = t.node)
 """
 ORACLE = {
-    "p1_found": _P1 + "SELECT src, row_id, strftime(at, '%Y-%m') AS period FROM orphan",
-    "p1_report": _P1 + "SELECT src, strftime(at, '%Y-%m') AS period, count(*) AS orphan_rows, count(DISTINCT k) AS orphan_keys FROM orphan GROUP BY 1, 2",
+    "p1_found": _P1 + "SELECT src, row_id, strftime(ts, '%Y-%m') AS period FROM orphan",
+    "p1_report": _P1 + "SELECT src, strftime(ts, '%Y-%m') AS period, count(*) AS orphan_rows, count(DISTINCT k) AS orphan_keys FROM orphan GROUP BY 1, 2",
     "p1_state": """
 WITH x AS (SELECT nullif(upper(trim(ipr_id)), '') AS k, count(*) AS refs FROM member_table GROUP BY 1),
 y AS (SELECT upper(trim(ipr_id)) AS k, sum(CASE WHEN retired_at IS NULL THEN 1 ELSE 0 END) AS n FROM entry_table GROUP BY 1)
