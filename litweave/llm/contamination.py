@@ -32,13 +32,13 @@ WORD = re.compile(r"[^\W_]+")
 # Inline HTML elements, which do not end a word.
 INLINE_TAG = re.compile(r"</?(?:a|b|i|u|em|strong|sub|sup|span|mark|code|small|font)(?:\s[^<>]{0,300})?/?>", re.I)
 TAG = re.compile(r"</?[a-z][a-z0-9]*(?:\s[^<>]{0,300})?/?>|<!--.*?-->", re.I | re.S)
-HYPHENS = "-‐‑­"
-LINE_HYPHEN = re.compile(rf"([^\W_]+)[{HYPHENS}][ \t]*(?:\r\n|[\n\r \x85])[ \t]*([^\W_]+)")
+HYPHENS = "-\N{HYPHEN}\N{NON-BREAKING HYPHEN}\N{SOFT HYPHEN}"
+LINE_HYPHEN = re.compile(rf"([^\W_]+)[{HYPHENS}][ \t]*(?:\r\n|[\n\r\x85])[ \t]*([^\W_]+)")
 ODD = re.compile(r"[^\x09-\x0d\x20-\x7e]")
 
 
 def invisible(c: str) -> bool:
-    return unicodedata.category(c) in ("Cf", "Cc") and not c.isspace() or "︀" <= c <= "️" or c == "͏"
+    return unicodedata.category(c) in ("Cf", "Cc") and not c.isspace() or "\N{VARIATION SELECTOR-1}" <= c <= "\N{VARIATION SELECTOR-16}" or c == "\N{COMBINING GRAPHEME JOINER}"
 
 
 def words(text: str | None, vocabulary: set[str] | dict | None = None) -> list[str]:
@@ -53,7 +53,7 @@ def words(text: str | None, vocabulary: set[str] | dict | None = None) -> list[s
         text = TAG.sub(" ", INLINE_TAG.sub("", text))
     if "&" in text:
         text = html.unescape(text)
-    hyphen = "-" in text or "‐" in text or "‑" in text or "­" in text
+    hyphen = any(h in text for h in HYPHENS)
     if hyphen and LINE_HYPHEN.search(text):
 
         def join(m: re.Match) -> str:
