@@ -244,7 +244,7 @@ class Surrogates:
     def __init__(self, key: str, text: str):
         self.key, self.text = key.encode(), text
         self.given: dict[tuple[str, str], str] = {}
-        self.used: set[str] = set()
+        self.female: dict[str, bool] = {}
 
     def draw(self, *what: object) -> int:
         return int.from_bytes(hmac.new(self.key, "\x1f".join(map(str, what)).encode(), hashlib.sha256).digest()[:12], "big")
@@ -271,7 +271,8 @@ class Surrogates:
     def person(self, mention: str, title: str, turn: int) -> str:
         """Each word of the name by its own key, so a shared surname stays shared; initials follow the new words."""
         low = title.lower().strip(" .")
-        female = low in FEMALE_TITLES or low not in MALE_TITLES and bool(re.match(r"[\w-]+a\b", mention.partition(",")[2].strip() or mention))
+        guess = low in FEMALE_TITLES or low not in MALE_TITLES and bool(re.match(r"[\w-]+a\b", mention.partition(",")[2].strip() or mention))
+        female = self.female.setdefault(entity_of("person", mention), guess)  # as at the first mention
         particles = set(PARTICLES.replace("|", " ").split())
 
         def new(m: re.Match) -> str:
