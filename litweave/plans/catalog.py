@@ -1,7 +1,7 @@
 """All queries of the core and their SQL."""
 
-from litweave.plans import record_queries
+from litweave.plans import record_queries, reference_queries
 
-FLAGSHIP = "p1_report"
-QUERIES = {**record_queries.QUERIES}
-ORACLE = {**record_queries.ORACLE}
+FLAGSHIP = "best_protein_per_gene"
+QUERIES = {**record_queries.QUERIES, **reference_queries.QUERIES}
+ORACLE = {**record_queries.ORACLE, **reference_queries.ORACLE}
