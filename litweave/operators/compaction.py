@@ -12,7 +12,7 @@ Format is taken from the content, never from the name: JSON (one object, objects
 tab-separated text under a header line. A JSON record is complete if it closes, a tab-separated one if it has as many cells
 as its header. Defined results: null, empty and blank files, header lines, blank lines, empty objects and records without a
 non-blank rid give nothing; what is cut off at the end of a file spoils nothing before it. Of the copies of one rid the
-latest written wins (then the higher file id). A byte order mark, a leading # in the header and CR line ends do not count.
+latest written wins (then the higher file id). Rows of files that repeat count as one file. A byte order mark, a leading # in the header and CR line ends do not count.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from litweave.session import new_path, remove, rename
 TARGET_BYTES = 128 << 20
 SHARD_BINS = 16
 LEAST_BYTES = 64
-RECORD = "file_id bigint, rec_no int, rid string, record string"
+RECORD = "file_id bigint, at timestamp, rec_no int, rid string, record string"
 DECODER = json.JSONDecoder()
 
 
@@ -78,15 +78,21 @@ def records(text: str | None) -> list[tuple[str, str]]:
     return out
 
 
-def parse(files: DataFrame, file_id: str = "file_id", content: str = "content") -> DataFrame:
-    """One row per complete record of each file (columns RECORD)."""
+def given(files: DataFrame, written: str | None) -> DataFrame:
+    """(file_id, content, at); a file without an id is known by its content."""
+    at = F.col(written) if written else F.lit(None)
+    return files.select(F.coalesce(F.col("file_id").cast("bigint"), F.xxhash64("content")).alias("file_id"), "content", at.cast("timestamp").alias("at"))
+
+
+def parse(files: DataFrame) -> DataFrame:
+    """One row per complete record of each of the `given` files (columns RECORD)."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(i, k, *r) for i, t in zip(b.iloc[:, 0], b.iloc[:, 1]) for k, r in enumerate(records(t))]
-            yield pd.DataFrame(out, columns=["file_id", "rec_no", "rid", "record"])
+            out = [(i, at, k, *r) for i, t, at in zip(b["file_id"], b["content"], b["at"]) for k, r in enumerate(records(t))]
+            yield pd.DataFrame(out, columns=["file_id", "at", "rec_no", "rid", "record"])
 
-    return files.select(file_id, content).where(F.col(content).isNotNull()).mapInPandas(each, RECORD)
+    return files.where("content is not null").mapInPandas(each, RECORD)
 
 
 def first_fit_decreasing(sizes: list[int], most: int) -> list[int]:
@@ -111,10 +117,10 @@ def first_fit_decreasing(sizes: list[int], most: int) -> list[int]:
     return bins
 
 
-def manifest(files: DataFrame, file_id: str = "file_id", content: str = "content") -> DataFrame:
+def manifest(files: DataFrame) -> DataFrame:
     """(file_id, size, checksum) of every file; size in bytes, LEAST_BYTES at least, as an empty file is an entry too."""
-    size = F.greatest(F.octet_length(F.coalesce(F.col(content), F.lit(""))), F.lit(LEAST_BYTES)).cast("bigint")
-    return files.select(F.col(file_id).alias("file_id"), size.alias("size"), F.xxhash64(F.coalesce(F.col(content), F.lit(""))).alias("checksum"))
+    size = F.greatest(F.octet_length(F.coalesce("content", F.lit(""))), F.lit(LEAST_BYTES)).cast("bigint")
+    return files.groupBy("file_id").agg(F.sum(size).alias("size"), F.bit_xor(F.xxhash64(F.coalesce("content", F.lit("")))).alias("checksum"))
 
 
 def pack(frozen: DataFrame, target_bytes: int = TARGET_BYTES, shard_bins: int = SHARD_BINS) -> DataFrame:
@@ -148,12 +154,8 @@ def checked(df: DataFrame) -> tuple[int, int]:
     return n, x
 
 
-def distinct_records(parsed: DataFrame, files: DataFrame, written: str | None = "written_at") -> DataFrame:
+def distinct_records(parsed: DataFrame) -> DataFrame:
     """(rid, record, file_id): each rid once, from the file written last."""
-    if written:
-        parsed = parsed.join(files.select("file_id", F.col(written).alias("at")), "file_id", "left")
-    else:
-        parsed = parsed.withColumn("at", F.lit(None).cast("timestamp"))
     best = F.max_by(F.struct("record", "file_id"), F.struct("at", "file_id", "rec_no")).alias("best")
     return parsed.groupBy("rid").agg(best).select("rid", "best.record", "best.file_id")
 
@@ -164,6 +166,7 @@ def compact(files: DataFrame, target_bytes: int = TARGET_BYTES, target: str | No
     target = target or new_path(spark, "compacted")
     staging = new_path(spark, "staging")
     frozen_at = f"{staging}/manifest"
+    files = given(files, written)
     manifest(files).write.parquet(frozen_at)
     frozen = spark.read.parquet(frozen_at)
     bins = pack(frozen, target_bytes)
@@ -171,8 +174,8 @@ def compact(files: DataFrame, target_bytes: int = TARGET_BYTES, target: str | No
     bins = spark.read.parquet(f"{staging}/bins")
     shape = bins.agg(F.count("*").alias("files"), F.countDistinct("bin").alias("bins")).first()
     if shape["files"] != frozen.count():
-        raise ValueError("the manifest has files that were not packed, or ids that repeat")
-    unique = distinct_records(parse(files), files, written)
+        raise ValueError("the manifest has files that were not packed")
+    unique = distinct_records(parse(files))
     placed = unique.join(bins, "file_id").select("rid", "record", "bin")
     placed.repartition(max(1, min(shape["bins"], 10_000)), "bin").sortWithinPartitions("bin", "rid").write.parquet(f"{staging}/data")
     rows, checksum = checked(spark.read.parquet(f"{staging}/data"))

@@ -8,7 +8,8 @@ Defined results: null, blank and unreadable (cut off) texts give no nodes. A tex
 `relations`, one block alone, or any of these as a JSON string once more. A lone object or string stands for a list of one;
 nulls count as positions but give no node; a bare string is an entity with only a name. Legacy names (target, context) and
 current ones (targets, contexts) mean the same; a relation that has both gets the current one's positions first. Depth is
-unbounded: the walk keeps its own stack. Repeated documents under new ids are documents of their own.
+unbounded: the walk keeps its own stack. Repeated documents under new ids are documents of their own; a document without an
+id gives no nodes, as they could not be told apart; ids are taken as unique.
 """
 
 from __future__ import annotations
@@ -133,7 +134,7 @@ def nodes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             if out:
                 yield pd.DataFrame(out, columns=COLUMNS).astype({"parent": "Int64"})
 
-    return docs.select(doc_id, text).where(F.length(F.trim(text)) > 0).mapInPandas(each, NODES)
+    return docs.select(doc_id, text).where(F.col(doc_id).isNotNull() & F.col(text).rlike(r"\S")).mapInPandas(each, NODES)
 
 
 def within(all_nodes: DataFrame, kind: str, prefix: str) -> DataFrame:

@@ -437,13 +437,12 @@ def coverage_ratio(spark: SparkSession, d: str) -> DataFrame:
     return metrics.share(rows, F.col("known"), ["entity_type"]).withColumn("ratio", F.round("ratio", 6))
 
 
-@query("""WITH a AS (SELECT pmid, name FROM go_mapping WHERE mapping_id % 2 = 0), b AS (SELECT DISTINCT pmid, name FROM go_mapping WHERE mapping_id % 2 = 1)
-SELECT count(b.name) AS covered, count(*) AS total, round(CAST(count(b.name) AS DOUBLE) / count(*), 6) AS ratio FROM a LEFT JOIN b ON b.pmid = a.pmid AND b.name = a.name""")
+@query("""SELECT count(*) FILTER (WHERE lower(trim(name)) = lower(trim(llm_best_match))) AS covered, count(*) AS total,
+round(CAST(count(*) FILTER (WHERE lower(trim(name)) = lower(trim(llm_best_match))) AS DOUBLE) / count(*), 6) AS ratio FROM go_mapping""")
 def agreement_rate(spark: SparkSession, d: str) -> DataFrame:
-    """Two runs, told by even and odd ids: how much of the first the second repeats."""
-    g = table(spark, d, "go_mapping").select("mapping_id", "pmid", "name")
-    b = g.where("mapping_id % 2 = 1").select("pmid", "name").distinct().withColumn("both", F.lit(True))
-    return metrics.share(g.where("mapping_id % 2 = 0").join(b, ["pmid", "name"], "left"), F.col("both")).withColumn("ratio", F.round("ratio", 6))
+    """How often the answer repeats the name it was asked about."""
+    same = F.lower(F.trim("name")) == F.lower(F.trim("llm_best_match"))
+    return metrics.share(table(spark, d, "go_mapping"), same).withColumn("ratio", F.round("ratio", 6))
 
 
 @query("SELECT min(value) AS least, max(value) AS most FROM events")
@@ -607,6 +606,99 @@ def alias_mean(spark: SparkSession, d: str) -> DataFrame:
     return graph.alias_means(m, _edges(spark, d), "node", "w").withColumn("mean_weight", F.round("mean_weight", 6))
 
 
+_TERMS = """t AS (SELECT go_id, name, CASE WHEN starts_with(name, 'positive regulation') OR starts_with(name, 'negative regulation') THEN substr(name, 10)
+  WHEN starts_with(name, 'regulation of ') THEN substr(name, 15) END AS above FROM go_ref),
+te AS (SELECT a.go_id AS u, b.go_id AS v FROM t a JOIN t b ON b.name = a.above)"""
+
+
+def _term_edges(spark: SparkSession, d: str) -> DataFrame:
+    """The terms' hierarchy as their names tell it."""
+    name = F.col("name")
+    signed = name.startswith("positive regulation") | name.startswith("negative regulation")
+    above = F.when(signed, F.substring(name, 10, 1000)).when(name.startswith("regulation of "), F.substring(name, 15, 1000))
+    t = table(spark, d, "go_ref").select(F.col("go_id").alias("u"), "name", above.alias("above"))
+    return t.select("u", F.col("above").alias("name")).join(t.select("name", F.col("u").alias("v")), "name").select("u", "v", F.lit("is_a").alias("relation"))
+
+
+@query(f"""WITH RECURSIVE {_TERMS}, l AS (SELECT go_id AS node, 0 AS level FROM t UNION ALL SELECT te.u, l.level + 1 FROM l JOIN te ON te.v = l.node)
+SELECT node, CAST(max(level) AS INTEGER) AS level FROM l GROUP BY 1""")
+def graph_levels(spark: SparkSession, d: str) -> DataFrame:
+    nodes = table(spark, d, "go_ref").select(F.col("go_id").alias("node"))
+    return graph.levels(_term_edges(spark, d), nodes).select("node", F.col("level").cast("int").alias("level"))
+
+
+@query(f"WITH {_TERMS} SELECT go_id FROM t WHERE go_id IN (SELECT u FROM te) OR go_id IN (SELECT v FROM te)")
+def on_hierarchy(spark: SparkSession, d: str) -> DataFrame:
+    nodes = table(spark, d, "go_ref").select(F.col("go_id").alias("node"))
+    return graph.on_hierarchy(nodes, _term_edges(spark, d)).select(F.col("node").alias("go_id"))
+
+
+@query(f"WITH RECURSIVE {_TERMS}, s AS (SELECT min(v) AS node FROM te), up AS (SELECT node FROM s UNION SELECT te.v FROM up JOIN te ON te.u = up.node), dn AS (SELECT node FROM s UNION SELECT te.u FROM dn JOIN te ON te.v = dn.node) SELECT node FROM up UNION SELECT node FROM dn")
+def local_context(spark: SparkSession, d: str) -> DataFrame:
+    edges = _term_edges(spark, d)
+    nodes = table(spark, d, "go_ref").select(F.col("go_id").alias("node"))
+    return graph.local_context(nodes, edges, edges.agg(F.min("v")).first()[0])[0]
+
+
+@query(f"WITH {_EDGES} SELECT u, v FROM e WHERE regexp_matches(u, '^IPR[0-9]+$') AND regexp_matches(v, '^IPR[0-9]+$')")
+def id_pattern_subgraph(spark: SparkSession, d: str) -> DataFrame:
+    edges = _edges(spark, d).select("u", "v")
+    nodes = edges.select(F.explode(F.array("u", "v")).alias("node")).where(F.col("node").rlike(r"^IPR\d+$"))
+    return graph.induced(edges, nodes)
+
+
+@query("SELECT go_id, name FROM go_ref")
+def clean_uris(spark: SparkSession, d: str) -> DataFrame:
+    """Term addresses made from the ids, brought back to ids."""
+    uri = F.concat(F.lit("http://purl.obolibrary.org/obo/"), F.translate("go_id", ":", "_"))
+    return table(spark, d, "go_ref").select(T.clean_uri(uri).alias("go_id"), "name")
+
+
+@query("""SELECT g.mapping_id, CASE WHEN upper(trim(g.llm_best_match)) <> 'NONE' AND contains(upper(g.llm_best_match), upper(r.go_id)) THEN r.go_id END AS hit
+FROM go_mapping g LEFT JOIN go_ref r ON r.name = g.name""")
+def answer_containment(spark: SparkSession, d: str) -> DataFrame:
+    offer = table(spark, d, "go_ref").select("name", F.array(F.struct(F.col("go_id").alias("id"), "name")).alias("hits"))
+    rows = table(spark, d, "go_mapping").select("mapping_id", "name", "llm_best_match").join(offer, "name", "left")
+    return rows.select("mapping_id", T.hit_contained(F.col("llm_best_match"), F.col("hits"))["id"].alias("hit"))
+
+
+@query("""SELECT g.mapping_id, r.go_id AS hit FROM go_mapping g LEFT JOIN go_ref r ON r.name = g.name
+AND regexp_replace(lower(trim(g.llm_best_match)), '^["''`]+|["''`]+$', '', 'g') IN (lower(r.go_id), lower(r.name))""")
+def answer_equality(spark: SparkSession, d: str) -> DataFrame:
+    offer = table(spark, d, "go_ref").select("name", F.array(F.struct(F.col("go_id").alias("id"), "name")).alias("hits"))
+    rows = table(spark, d, "go_mapping").select("mapping_id", "name", "llm_best_match").join(offer, "name", "left")
+    return rows.select("mapping_id", T.hit_equal(F.col("llm_best_match"), F.col("hits"))["id"].alias("hit"))
+
+
+@query("SELECT pmid, replace(replace(abstract, chr(13), ' '), chr(10), ' ') AS line FROM pubmed_abs")
+def newline_flatten(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pubmed_abs").select("pmid", T.one_line(F.col("abstract")).alias("line"))
+
+
+@query()
+def control_strip(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", T.printable(F.col("text")).alias("text"))
+
+
+@query()
+def fuzzy_species(spark: SparkSession, d: str) -> DataFrame:
+    """Species as entered against the organisms' names, with typing errors."""
+    names = table(spark, d, "uniprot_ref").select("organism", "organism_common").distinct()
+    asked = table(spark, d, "uniprot_match").where("match_id % 20 = 0").select("match_id", "species")
+    return retrieval.fuzzy_search(asked, names.withColumn("id", F.col("organism")), "match_id", "species", "id", {"organism": 3.0, "organism_common": 1.0}, 3).select("match_id", "id", "rank", "score")
+
+
+@query()
+def sub_phrases(spark: SparkSession, d: str) -> DataFrame:
+    names = table(spark, d, "uniprot_ref").select("accession", T.normal_name(F.col("protein_name")).alias("name"))
+    return matching.runs(names, "name", 12).select("accession", "n", "phrase")
+
+
+@query()
+def relation_classes(spark: SparkSession, d: str) -> DataFrame:
+    return store.relation_classes(spark)
+
+
 # --- dataflow -----------------------------------------------------------------------------------------------------------------------
 
 _NEED = ["click", "view", "purchase"]
