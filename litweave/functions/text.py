@@ -118,7 +118,7 @@ def squeeze(text: Column, most: int | None = None) -> Column:
 
 def id_from_path(path: Column) -> Column:
     """The folder that a file lies in, as an id."""
-    return F.element_at(F.split(path, "/"), -2)
+    return F.try_element_at(F.split(path, "/"), F.lit(-2))
 
 
 def common_pairs(a: Column, b: Column) -> Column:

@@ -283,7 +283,7 @@ def squeeze_truncate(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
 def json_props(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    return table(spark, d, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
 
 
 @query(r"""SELECT doc_id, unnest(list_filter(regexp_split_to_array(trim(regexp_replace(text, '([.!?])[ \t\n\f\r\v]+', '\1' || chr(1), 'g')), chr(1)), lambda x: x <> '')) AS part FROM (SELECT doc_id, trim(text) AS text FROM documents WHERE text IS NOT NULL)""")

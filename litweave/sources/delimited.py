@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 def find_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """(path) of all files below a folder whose whole name matches; only paths are read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    return files.select("path").where(F.element_at(F.split("path", "/"), -1).rlike(f"^(?:{pattern})$"))
+    return files.select("path").where(F.try_element_at(F.split("path", "/"), F.lit(-1)).rlike(f"^(?:{pattern})$"))
 
 
 def lines(spark: SparkSession, path: str | list[str], safe: bool = False) -> DataFrame:
@@ -34,7 +34,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def cells(line: Column, sep: str = "\t") -> Column:
     parts = F.split(line, sep, -1)
-    return F.when((F.size(parts) > 1) & (F.element_at(parts, -1) == ""), F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return F.when((F.size(parts) > 1) & (F.try_element_at(parts, F.lit(-1)) == ""), F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], safe: bool = False) -> DataFrame:

@@ -29,11 +29,11 @@ def tagged(lines: Column | str, tag: str) -> Column:
 def accessions(lines: str) -> Column:
     """All accessions of a record, in order."""
     joined = F.array_join(tagged(lines, "AC"), " ")
-    return F.filter(F.transform(F.split(joined, ";"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(joined, ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def first_of_last_ac(lines: str) -> Column:
-    last = F.element_at(tagged(lines, "AC"), -1)
+    last = F.try_element_at(tagged(lines, "AC"), F.lit(-1))
     return F.trim(F.get(F.split(last, ";"), F.lit(0)))
 
 
@@ -52,7 +52,7 @@ def features(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
             F.lit("").alias("n"), F.lit("").alias("e"),
         )
         note, evidence = F.regexp_extract(line, r'/note="([^"]*)"\s*$', 1), F.regexp_extract(line, r'/evidence="([^"]*)"\s*$', 1)
-        last = F.element_at(state["done"], -1)
+        last = F.try_element_at(state["done"], F.lit(-1))
         fixed = F.struct(
             last["t"].alias("t"), last["a"].alias("a"), last["b"].alias("b"), F.when(line.contains("/note="), note).otherwise(last["n"]).alias("n"),
             F.when(line.contains("/evidence="), evidence).otherwise(last["e"]).alias("e"),
@@ -70,7 +70,7 @@ def features(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
 def cross_references(spark: SparkSession, path: str) -> DataFrame:
     """(accession, db_name, db_id, description, evidence), each line for every accession of its record."""
     rows = entries(spark, path).select(F.explode(accessions("lines")).alias("accession"), tagged("lines", "DR").alias("dr"))
-    parts = rows.select("accession", F.explode("dr").alias("l")).select("accession", F.transform(F.split(F.regexp_replace(F.rtrim("l"), r"\.$", ""), ";"), F.trim).alias("p"))
+    parts = rows.select("accession", F.explode("dr").alias("l")).select("accession", F.transform(F.split(F.regexp_replace(F.rtrim("l"), r"\.$", ""), ";"), lambda x: F.trim(x)).alias("p"))
     return parts.where(F.size("p") >= 2).select("accession", *(F.coalesce(F.get("p", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(("db_name", "db_id", "description", "evidence"))))
 
 

@@ -73,7 +73,7 @@ def abstracts(spark: SparkSession, path: str, asked: DataFrame | None = None) ->
     x = spark.read.format("xml").option("rowTag", "MedlineCitation").schema(ARTICLE).load(path)
     part = F.transform("Article.Abstract.AbstractText", lambda s: F.when(s["_Label"].isNotNull(), F.concat_ws(": ", s["_Label"], F.trim(s["_VALUE"]))).otherwise(F.trim(s["_VALUE"])))
     text = printable(F.array_join(part, "\n\n"))
-    rows = x.select(F.col("PMID").cast("bigint").alias("pmid"), F.when(F.trim(text) != "", text).otherwise("NO_ABSTRACT").alias("abstract"))
+    rows = x.select(F.col("PMID").try_cast("bigint").alias("pmid"), F.when(F.trim(text) != "", text).otherwise("NO_ABSTRACT").alias("abstract"))
     if asked is None:
         return rows
     return asked.select("pmid").distinct().join(rows, "pmid", "left").withColumn("abstract", F.coalesce("abstract", F.lit("NO_ARTICLE")))

@@ -98,7 +98,7 @@ def run_batch(spark: SparkSession, log_path: str, stages: list[Stage], targets:
     for s in in_order(stages):
         log = spark.read.schema(LOG).parquet(log_path)
         items = ready(log, list(s.upstream), s.name, targets).select("item")
-        result = s.run(items).select(F.lit(s.name).alias("stage"), "item", F.when("ok", "done").otherwise("failed").alias("event"), F.current_timestamp().alias("at"))
+        result = s.run(items).select(F.lit(s.name).alias("stage"), "item", F.when(F.col("ok"), "done").otherwise("failed").alias("event"), F.current_timestamp().alias("at"))
         before = log.where(F.col("stage") == s.name).count()
         result.write.mode("append").parquet(log_path)
         took[s.name] = spark.read.schema(LOG).parquet(log_path).where(F.col("stage") == s.name).count() - before
