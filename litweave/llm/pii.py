@@ -79,15 +79,15 @@ DOT_WORD = re.compile(r"\s?[\(\[\{]\s?(?:dot|at)\s?[\)\]\}]\s?", re.I)
 EXT = r"(?:(?:,?\s*(?:ext\.?|extension|Durchwahl|Dw\.?|poste|int\.)|\s*x|\s*#)\s?\d{1,6})?"
 PHONE = re.compile(
     r"(?<![A-Za-z0-9./+-])(?:"
-    r"(?:\+|00(?=(?:\D?\d){9}))[1-9]\d{0,2}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{1,8}){1,6}"
-    r"|\(0?\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
+    r"(?:\+|00(?=(?:\D?\d){9}))[1-9]\d{0,2}(?:[ \xa0.-]?\(\d{1,4}\))?(?:[ \xa0.-]?\d{1,8}){1,6}"
+    r"|\(0?\d{2,4}\)[ \xa0.-]?\d{3,4}[ \xa0.-]?\d{3,4}"
     r"|\d{3}\.\d{3}\.\d{4}"
-    r"|0\d(?:[ .]\d{2}){4}"
-    r"|0\d{2}[ -]\d{4}[ -]?\d{4}|0\d{3,4}[ -]\d{3}[ -]?\d{3,4}|0\d{2,4}/\d{4,8}(?:-\d{1,4})?"
-    r"|(?<=[ ]o[ ])[6-9]\d{2}[ ]\d{3}[ ]\d{3}"
+    r"|0\d(?:[ \xa0.]\d{2}){4}"
+    r"|0\d{2}[ \xa0-]\d{4}[ \xa0-]?\d{4}|0\d{3,4}[ \xa0-]\d{3}[ \xa0-]?\d{3,4}|0\d{2,4}/\d{4,8}(?:-\d{1,4})?"
+    r"|(?<=[ \xa0]o[ \xa0])[6-9]\d{2}[ \xa0]\d{3}[ \xa0]\d{3}"
     r")(?![\d/-])(?!\.\d)" + EXT,
 )
-PHONE_LABEL = re.compile(r"(?:\b(?:tel|phone|telephone|mobile|cell|fax|call|tél|telefon|teléfono|telefono|handy|número|number is)\b\.?|电话|電話|連絡先|手机|फ़ोन|هاتف|โทร\.?)\s*[:：]?\s*(?:at|on)?\s*(\+?\(?\d[\d ().-]{5,18}\d" + EXT + r")", re.I)
+PHONE_LABEL = re.compile(r"(?:\b(?:tel|phone|telephone|mobile|cell|fax|call|tél|telefon|teléfono|telefono|handy|número|number is)\b\.?|电话|電話|連絡先|手机|फ़ोन|هاتف|โทร\.?)\s*[:：]?\s*(?:at|on)?\s*(\+?\(?\d[\d \xa0().-]{5,18}\d" + EXT + r")", re.I)
 ID_VALUE = r"[A-Z]{0,6}\d[A-Z0-9]*(?:(?:[/.-]|[^\S\r\n])\d[A-Z0-9]*|[/-][A-Z0-9]+)*"
 ID = re.compile(rf"(?<![A-Za-z0-9])(?i:{ID_LABELS})\s*(?:[:：#]|(?i:no\.?|number|is))?\s*({ID_VALUE})")
 BARE_SSN = re.compile(r"(?<![A-Za-z0-9-])\d{3}-\d{2}-\d{4}(?![\w-])")

@@ -308,7 +308,7 @@ class Splitter:
         w = WORD_BEFORE.search(head)
         word = w.group() if w else ""
         low = word.lower()
-        if danda and c > "ऀ":
+        if danda and "\N{DEVANAGARI SIGN INVERTED CANDRABINDU}" <= word[:1] <= "\N{DEVANAGARI LETTER BBA}":
             return False
         if not spaced and i == m.end():
             # Without a space: a small-letter word or a number before, a capitalised word behind, and no address around.
