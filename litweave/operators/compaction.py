@@ -60,7 +60,7 @@ def tsv_records(text: str) -> Iterator[dict]:
         if header is None:
             header = [c.strip() for c in cells]
             header[0] = header[0].lstrip("#").strip()
-        elif len(cells) == len(header) and cells != header:
+        elif len(cells) == len(header) and [c.strip().lstrip("#").strip() for c in cells] != header:
             yield dict(zip(header, cells))
 
 
