@@ -52,7 +52,9 @@ BRACKETS = {"(": ")", "[": "]", "（": "）", "［": "］"}
 STOP = re.compile(r"[.!?…。！？｡．।॥؟۔]+")
 WIDE = set("。！？｡．")
 BLANK_LINE = re.compile(r"(?:\r\n|\r(?!\n)|[\n\x85\N{LINE SEPARATOR}])[^\S\n\r\x85]*(?:\r\n|\r(?!\n)|[\n\x85\N{LINE SEPARATOR}])\s*|\N{PARAGRAPH SEPARATOR}\s*")
-WORD_BEFORE = re.compile(r"(?:[^\W\d_]\.)*[^\W_]+(?:[-’'][^\W_]+)*$")
+# Vowel signs and other marks belong to words, though the pattern language does not count them as letters.
+MARKS = "".join(chr(c) for c in range(0x300, 0x1100) if unicodedata.category(chr(c))[0] == "M")
+WORD_BEFORE = re.compile(rf"(?:[^\W\d_]\.)*(?:[^\W_][{MARKS}]*)+(?:[-’'][^\W_]+)*$")
 NEXT_WORD = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*")
 CITATION = re.compile(r"(?:\[\s*\d+(?:\s*[,;–-]\s*\d+)*\s*\])+|[⁰¹²³⁴-⁹]+(?:[,⁻–][⁰¹²³⁴-⁹]+)*")
 JA_GOES_ON = re.compile(r"[とっがはをにでもやのへなだ]")
@@ -308,7 +310,7 @@ class Splitter:
         w = WORD_BEFORE.search(head)
         word = w.group() if w else ""
         low = word.lower()
-        if danda and "\N{DEVANAGARI SIGN INVERTED CANDRABINDU}" <= word[:1] <= "\N{DEVANAGARI LETTER BBA}":
+        if danda and "\N{DEVANAGARI SIGN INVERTED CANDRABINDU}" <= text[m.start() - 1] <= "\N{DEVANAGARI LETTER BBA}":
             return False
         if not spaced and i == m.end():
             # Without a space: a small-letter word or a number before, a capitalised word behind, and no address around.
