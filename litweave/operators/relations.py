@@ -181,3 +181,9 @@ def without_descriptions(value: object) -> object:
     if isinstance(value, dict):
         return {k: without_descriptions(v) for k, v in value.items() if k != "description"}
     return [without_descriptions(v) for v in value] if isinstance(value, list) else value
+
+
+def chosen_keys(value: dict, keys: list[str]) -> dict:
+    """The chosen keys of a relation, or all of it if it has none of them."""
+    kept = {k: v for k, v in value.items() if k in keys}
+    return kept or value

@@ -10,7 +10,7 @@ doubles, rounded only on request.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -186,9 +186,9 @@ def hashed_tokens(text: Column, size: int = 64) -> Column:
     return encode(text)
 
 
-def build_index(rows: DataFrame, doc_id: str, label: str, text: Column, path: str) -> None:
-    """Write an index table (id, label, text_all, sparse, vector); tokens with a stop or without letters are left out."""
+def build_index(rows: DataFrame, doc_id: str, label: str, text: Column, path: str, encoder: Callable[[Column], Column] = hashed_tokens) -> None:
+    """Write an index table (id, label, text_all, sparse, vector); tokens with a stop are left out. The encoder is injected."""
     counts = F.split(F.lower(text), r"\s+")
     distinct = F.array_distinct(F.filter(counts, lambda w: (w != "") & ~w.contains(".")))
     sparse = F.map_from_arrays(distinct, F.transform(distinct, lambda w: F.size(F.filter(counts, lambda x: x == w)).cast("double")))
-    rows.select(F.col(doc_id).alias("id"), F.col(label).alias("label"), text.alias("text_all"), sparse.alias("sparse"), hashed_tokens(text).alias("vector")).write.mode("overwrite").parquet(path)
+    rows.select(F.col(doc_id).alias("id"), F.col(label).alias("label"), text.alias("text_all"), sparse.alias("sparse"), encoder(text).alias("vector")).write.mode("overwrite").parquet(path)

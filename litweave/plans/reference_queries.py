@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litweave.functions import text as T
-from litweave.operators import graph, matching, metrics, models, relational, relations, retrieval
+from litweave.operators import graph, matching, metrics, models, relational, relations, retrieval, stages
 from litweave.operators.orphans import base_accession, key_form
 from litweave.session import cut, new_path, table
 from litweave.sources import store
@@ -779,3 +779,23 @@ def validate_stub(spark: SparkSession, d: str) -> DataFrame:
     r = nested.relations(n).select("doc_id", "sentence_pre", "block_no", "rel_no", F.col("name").alias("claim"))
     s = nested.sentences(n).select("doc_id", F.col("pre").alias("sentence_pre"), "sentence")
     return models.checked(r.join(s, ["doc_id", "sentence_pre"])).select("doc_id", "block_no", "rel_no", "valid")
+
+
+def _resolved(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The merged documents resolved against terms and proteins; terms that fail are tried as proteins."""
+    found = cut(relations.with_species(cut(relations.mentions(table(spark, d, "merged"), "merged_id", "relations"))))
+    go = table(spark, d, "go_ref").select(F.col("go_id").alias("id"), "name", F.col("namespace").alias("description"))
+    up = table(spark, d, "uniprot_ref").select(F.col("accession").alias("id"), F.col("gene_symbol").alias("name"), F.col("protein_name").alias("description"))
+    ontologies = [relations.Ontology(("GO",), "go", judge="relaxed"), relations.Ontology(("gene", "protein"), "uniprot")]
+    searches = {"go": stages.token_lookup(go), "uniprot": stages.token_lookup(up)}
+    return stages.resolve(found, ontologies, searches, [stages.Conversion("go", "uniprot", "protein")])
+
+
+@query()
+def resolve_documents(spark: SparkSession, d: str) -> DataFrame:
+    return _resolved(spark, d)[0].select("doc_id", "pre", "name", "type", "id")
+
+
+@query()
+def resolve_statuses(spark: SparkSession, d: str) -> DataFrame:
+    return stages.statuses(_resolved(spark, d)[1])

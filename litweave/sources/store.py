@@ -82,6 +82,19 @@ def write_pruned(df: DataFrame, path: str, partition: list[str] | None = None, s
     (w.partitionBy(*partition) if partition else w).parquet(path)
 
 
+def append_table(df: DataFrame, name: str, rows_per_file: int = 5_000_000) -> None:
+    """Append to a table; a job's rows come in together or not at all."""
+    df.write.option("maxRecordsPerFile", rows_per_file).mode("append").saveAsTable(name)
+
+
+def table_exists(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def write_bucketed(df: DataFrame, name: str, column: str, buckets: int) -> None:
     """A table bucketed and sorted by a join key, so that later joins on it need no shuffle."""
     df.write.bucketBy(buckets, column).sortBy(column).mode("overwrite").saveAsTable(name)

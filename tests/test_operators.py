@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from litweave.functions import text as T
-from litweave.operators import graph, matching, metrics, models, nested, relational, relations, retrieval
+from litweave.operators import graph, matching, metrics, models, nested, relational, relations, retrieval, stages
 from litweave.streaming import queues
 
 
@@ -228,3 +228,29 @@ def test_limiter_and_retry():
         return "ok"
 
     assert models.retried(call, sleep=pauses.append) == "ok" and pauses == [1.0, 2.0]
+
+
+def test_pipeline(spark):
+    docs = spark.createDataFrame([(1, json.dumps([{"sentence": "s", "rel_from_this_sent": [REL]}])), (2, json.dumps([{"sentence": "s", "rel_from_this_sent": [{"components": [{"name": "odd thing", "type": "GO"}], "targets": ["x"]}]}]))], "doc bigint, text string")
+    found = relations.with_species(relations.mentions(docs, "doc", "text"))
+    go = spark.createDataFrame([("GO:1", "DNA repair", "d"), ("GO:2", "repair", None)], "id string, name string, description string")
+    genes = spark.createDataFrame([("P1", "TP53", "tumor"), ("P2", "odd", "thing")], "id string, name string, description string")
+    ontologies = [relations.Ontology(("GO",), "go"), relations.Ontology(("gene",), "gene", use_species=True)]
+    searches = {"go": stages.token_lookup(go), "gene": stages.token_lookup(genes)}
+    kept, best = stages.resolve(found, ontologies, searches, [stages.Conversion("go", "gene", "gene")])
+    got = sorted((r["doc_id"], r["name"], r["type"], r["id"]) for r in kept.collect())
+    assert got == [(1, "TP53", "gene", "P1"), (1, "cell", "cell_line", None), (1, "human", "species", None), (1, "repair", "GO", "GO:2"), (2, "odd", "gene", "P2"), (2, "x", None, None)]
+    assert sorted((r["ontology"], r["status"], r["n"]) for r in stages.statuses(best).collect()) == [("gene", "matched", 2), ("go", "matched", 1)]
+    empty, _ = stages.resolve(found.limit(0), ontologies, searches)
+    assert empty.count() == 0
+    assert relations.chosen_keys({"a": 1, "b": 2}, ["a"]) == {"a": 1} and relations.chosen_keys({"b": 2}, ["a"]) == {"b": 2}
+    assert stages.Pattern("p", "d", ("x", "y")).schema() == {"x": "", "y": ""}
+
+
+def test_index(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "heart muscle v1.2"), (2, None), (3, "")], "i int, t string")
+    retrieval.build_index(rows, "i", "t", F.coalesce("t", F.lit("")), str(tmp_path / "i"))
+    got = {r["id"]: r for r in spark.read.parquet(str(tmp_path / "i")).collect()}
+    assert got[1]["sparse"] == {"heart": 1.0, "muscle": 1.0} and len(got[1]["vector"]) == 64 and got[3]["sparse"] == {}
+    q = got[1]["vector"]
+    assert abs(sum(x * x for x in q) - 1) < 1e-5
