@@ -4,7 +4,7 @@
 2. Bin-pack it by size with first-fit decreasing. The manifest is dealt by hash into shards of about `SHARD_BINS` bins each,
    so packing is parallel and no task sees the whole list; a shard ends with at most one bin less than half full.
 3. Parse the files into records where they lie, keep each record id once (partial aggregation before the shuffle) and write
-   the records of each bin as one file into a staging folder.
+   the records of each bin as one file, in a folder of its own, into a staging folder.
 4. Verify: rows and an order-free checksum of what was read back must equal those of what was written.
 5. Commit: one rename of the staging folder to its final name.
 
@@ -33,6 +33,7 @@ TARGET_BYTES = 128 << 20
 SHARD_BINS = 16
 LEAST_BYTES = 64
 RECORD = "file_id bigint, at timestamp, rec_no int, rid string, record string"
+WRITTEN = "rid string, record string, bin bigint"
 DECODER = json.JSONDecoder()
 
 
@@ -180,8 +181,8 @@ def compact(files: DataFrame, target_bytes: int = TARGET_BYTES, target: str | No
     seen = Observation()
     counted = unique.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor(F.xxhash64("rid", "record")), F.lit(0)).alias("checksum"))
     placed = counted.join(bins, "file_id").select("rid", "record", "bin")
-    placed.repartition(max(1, min(shape["bins"], 10_000)), "bin").sortWithinPartitions("bin", "rid").write.parquet(f"{staging}/data")
-    rows, checksum = checked(spark.read.parquet(f"{staging}/data"))
+    placed.repartition(max(1, min(shape["bins"], 10_000)), "bin").sortWithinPartitions("bin", "rid").write.partitionBy("bin").parquet(f"{staging}/data")
+    rows, checksum = checked(spark.read.schema(WRITTEN).parquet(f"{staging}/data"))
     # What was read is counted as it passes by; a stage that ran again after a loss may have been counted twice, so a difference
     # is looked into by reading anew.
     try:

@@ -162,7 +162,8 @@ def test_compact(spark):
     rows += [(200, None, None, None), (201, "", None, None), (None, '{"rid": "no id"}', None, None), rows[0]]
     files = spark.createDataFrame(rows, "file_id bigint, content string, written_at timestamp, bin string")
     c = compaction.compact(files, target_bytes=400)
-    got = spark.read.parquet(c.path)
+    got = spark.read.schema(compaction.WRITTEN).parquet(c.path)
+    assert got.select("_metadata.file_path").distinct().count() == got.select("bin").distinct().count() <= c.bins
     assert sorted(r["rid"] for r in got.collect()) == sorted([*(f"r{i}" for i in range(50)), *(f"only{i}" for i in range(120)), "no id"])
     assert c.rows == 171 and 10 < c.bins < 60
     v = {r["rid"]: json.loads(r["record"]).get("v") for r in got.collect()}
