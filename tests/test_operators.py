@@ -254,3 +254,84 @@ def test_index(spark, tmp_path):
     assert got[1]["sparse"] == {"heart": 1.0, "muscle": 1.0} and len(got[1]["vector"]) == 64 and got[3]["sparse"] == {}
     q = got[1]["vector"]
     assert abs(sum(x * x for x in q) - 1) < 1e-5
+
+
+class Fixed:
+    """Answers by a word of the prompt."""
+
+    def __init__(self, answers):
+        self.answers = answers
+
+    def query(self, prompt):
+        return next((a for w, a in self.answers.items() if w in prompt.rpartition(": ")[2] or w in prompt), "none")
+
+
+def test_extraction_and_patterns(spark):
+    s = spark.createDataFrame([(1, 0, "alpha"), (1, 1, "beta"), (2, 0, "gamma")], "doc_id bigint, sent_no int, sentence string")
+    out = models.extracted(s, lambda: Fixed({"gamma": "no", "beta": 'so: [{"a": 1}]', "alpha": '{"b": 2}'}))
+    got = {(r["doc_id"], r["sent_no"]): (r["history"], r["relations"], r["status"]) for r in out.collect()}
+    assert got == {(1, 0): ("", '[{"b": 2}]', "ok"), (1, 1): ("alpha", '[{"a": 1}]', "ok"), (2, 0): ("", None, "failed")}
+    d = spark.createDataFrame([("x y",), (None,)], "t string")
+    c = models.classified(d, "t", ["p1", "p2"], lambda: Fixed({"x y": '["p2", "other"]'}))
+    assert [r["patterns"] for r in c.orderBy("t").collect()] == [None, ["p2"]]
+
+
+def test_coverage_of_runs(spark):
+    a = spark.createDataFrame([(1, "binds B"), (1, "kills C"), (2, "x")], "doc bigint, claim string")
+    b = spark.createDataFrame([(1, "A binds B")], "doc bigint, claim string")
+    assert sorted((r["claim"], r["covered"]) for r in models.covered(a, b, "doc", "claim").collect()) == [("binds B", True), ("kills C", False), ("x", False)]
+
+
+def test_cache_answers_once(spark):
+    rows = spark.createDataFrame([("a",), ("a",), ("b",)], "prompt string")
+    first = models.answered(rows, "prompt", lambda: Fixed({"a": "1", "b": "2"}))
+    cache = first.select("key", "answer").distinct()
+
+    class Never:
+        def query(self, prompt):
+            raise AssertionError("asked again")
+
+    again = models.answered(rows, "prompt", Never, cache=cache, attempts=1)
+    assert sorted((r["prompt"], r["answer"], r["error"]) for r in again.collect()) == [("a", "1", None), ("a", "1", None), ("b", "2", None)]
+
+
+def test_prompt_budget(spark):
+    hits = F.transform(F.sequence(F.lit(1), F.lit(50)), lambda i: F.struct(F.concat(F.lit("id"), i.cast("string")).alias("id"), F.repeat(F.lit("n"), 600).alias("name"), F.lit(None).cast("string").alias("description")))
+    p = one(spark, models.choice_prompt(F.lit("x"), F.lit(None).cast("string"), hits))
+    lines = [x for x in p.split("\n") if x.startswith("- ")]
+    assert 15 < len(lines) <= 30 and sum(len(x) + 1 for x in lines) <= 8000 and all(len(x) < 420 for x in lines)
+
+
+def test_small_ones(spark):
+    m = lambda d: F.create_map(*(F.lit(x) for kv in d.items() for x in kv))
+    assert one(spark, T.common_pairs(m({"a": 1, "b": 2}), m({"a": 1, "b": 3, "c": 4}))) == 1
+    assert one(spark, retrieval.index_text(F.lit("l"), F.array(F.lit("a"), F.lit("b")))) == "l; Synonyms: a; b"
+    assert one(spark, retrieval.index_text(F.lit("l"), F.array().cast("array<string>"))) == "l"
+    assert one(spark, retrieval.description(F.lit("l"), retrieval.sorted_names(F.array(F.lit("b"), F.lit("a"), F.lit("b"))))) == "l | a, b"
+    assert one(spark, T.id_from_path(F.lit("/x/123/r.json"))) == "123" and one(spark, T.id_from_path(F.lit("r"))) is None
+    w = spark.createDataFrame([(1, {"a": 1.0, "b": -1.0, "c": 0.0})], "i int, w map<string,double>")
+    assert [tuple(r) for r in retrieval.sparse_weights(w, "i", "w").collect()] == [(1, "a", 1.0)]
+    q = spark.createDataFrame([("x", "p"), ("x", "q"), ("y", "p"), (None, "p")], "i string, g string")
+    assert [r["i"] for r in relational.in_all(q, "i", "g", ["p", "q"]).collect()] == ["x"]
+    into = spark.createDataFrame([(1, "old")], "i int, v string")
+    new = spark.createDataFrame([(1, "new"), (2, "new"), (2, "new")], "i int, v string")
+    assert sorted(map(tuple, relational.insert_or_ignore(into, new, ["i"]).collect())) == [(1, "old"), (2, "new")]
+    roll = metrics.roll_up(spark.createDataFrame([("s", 1, 3), ("s", 1, 0), ("z", 0, 0)], "k string, c int, t int"), ["k"], "c", "t")
+    assert sorted((r["k"], r["ratio"]) for r in roll.collect()) == [("s", 0.667), ("z", 0.0)]
+    rows = relational.merge_first_wins(spark.createDataFrame([("a", None), ("b", "1")], "k string, v string"), spark.createDataFrame([("a", "2"), ("b", "3"), ("c", "4")], "k string, v string"), ["k"], ["v"])
+    assert sorted(map(tuple, rows.collect())) == [("a", "2"), ("b", "1"), ("c", "4")]
+
+
+def test_species_tables(spark):
+    docs = spark.createDataFrame([(1, json.dumps([{"sentence": "s", "rel_from_this_sent": [{"components": [{"name": "HeLa", "type": "cell_line"}, {"name": "p", "type": "protein"}], "targets": [], "relation": {}}]}])), (2, "[]"), (3, None)], "doc bigint, text string")
+    m = relations.mentions(docs, "doc", "text")
+    lines = spark.createDataFrame([("HeLa", "Homo sapiens")], "name string, species string")
+    s = relations.with_species(m, lines, ["cell_line"])
+    assert {r["species"] for r in s.collect()} == {relations.CELL + "HeLa"}
+    names = spark.createDataFrame([("human", "Homo sapiens")], "name string, scientific string")
+    assert {r["species"] for r in relations.resolved_species(s, names, lines).collect()} == {"Homo sapiens"}
+    assert relations.first_species(m).count() == 0
+    e = relations.example_relation(m)
+    assert sorted((r["name"], r["block_no"], r["rel_no"]) for r in e.collect()) == [("HeLa", 0, 0), ("p", 0, 0)]
+    assert relations.relation_names(docs, "doc", "text").count() == 0
+    assert relations.without_descriptions({"description": "x", "meta": [{"description": "y", "name": "n"}]}) == {"meta": [{"name": "n"}]}
