@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +26,28 @@ def local_session(cores: int | str = 8, partitions: int = 8, name: str = "litwea
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context, so that their Python finds it wherever it was started."""
+    context = spark.sparkContext
+    if getattr(context, "_litweave_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    if root.parent.is_dir():  # not when run from a zip, which has been sent already
+        folder = shared_dir(spark).removeprefix("file://")
+        if "://" in folder or ":/" in folder:
+            folder = tempfile.mkdtemp(prefix="litweave-code-")  # read by the driver alone, which hands it out
+        os.makedirs(folder, exist_ok=True)
+        place = os.path.join(folder, f"litweave-{uuid.uuid4().hex}.zip")
+        with zipfile.ZipFile(place, "w") as z:
+            for file in sorted(root.rglob("*")):
+                if file.suffix in (".py", ".txt"):
+                    z.write(file, file.relative_to(root.parent))
+        context.addPyFile(place)
+    context._litweave_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
