@@ -99,8 +99,10 @@ LEADS = re.compile(
     rf"guardian,|mother,|father,|relative,|carer,|[Aa]uthor contributions\s*:|Corresponding author\s*:|Correspondance\s*:|Korrespondenz\s*:|Correspondencia\s*:|remercions|danken|Agradecemos a(?: la| el)?|Kontakt\s*:|Contacto?\s*:|"
     rf"姓名\s*[:：]|患者|氏名\s*[:：]){SP})(?P<more>{TITLE}*)",
 )
-FRENCH_M = re.compile(rf"M\.{SP}(?={FULL})")
-SPANISH_D = re.compile(rf"D\.{SP}(?={WORD}{SP}{PART}?{WORD})")
+# A title of one letter is told from an initial by what follows: a given name, a surname with one, or two initials.
+AFTER_LETTER = rf"(?={LAST_FIRST}|{WORD}{SP}(?:{PART}?{WORD}|{INITIAL})|{INITIAL}{SP}{INITIAL})"
+FRENCH_M = re.compile(rf"M\.{SP}{AFTER_LETTER}")
+SPANISH_D = re.compile(rf"D\.{SP}{AFTER_LETTER}")
 AND = re.compile(rf"(?:,?{SP}(?:and|und|et|y|&){SP}|,{SP})(?P<more>{TITLE}*)")
 NAME = re.compile(rf"(?:{LAST_FIRST}|{FULL})")
 SURNAME = re.compile(rf"{PART}?{WORD}{AFTER_TITLE}")

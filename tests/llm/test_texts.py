@@ -295,6 +295,8 @@ def said(text):
         ("La patiente Fava Hjeleova, domiciliée 97 bis impasse des Goflaras, 00688 Tamton, a été admise.", [("person", "Fava Hjeleova"), ("address", "97 bis impasse des Goflaras, 00688 Tamton")]),
         ("Der Patient Mornara Borasson, wohnhaft Tolopemolstr. 107, 00132 Dunmsgarde, wurde aufgenommen.", [("person", "Mornara Borasson"), ("address", "Tolopemolstr. 107, 00132 Dunmsgarde")]),
         ("El paciente Osmi van der Borielli, con domicilio en C/ Pobratrer 87, bajo, 00541 Korton, fue ingresado.", [("person", "Osmi van der Borielli"), ("address", "C/ Pobratrer 87, bajo, 00541 Korton")]),
+        ("Correspondance : M. Varaez, Oslo, 143 bis avenue des Goflaras, 00688 Tamton. Correspondance : M. E. Poleatti, 3 rue du Lac, 00123 Velton.", [("person", "Varaez, Oslo"), ("address", "143 bis avenue des Goflaras, 00688 Tamton"), ("person", "M. E. Poleatti"), ("address", "3 rue du Lac, 00123 Velton")]),
+        ("Correspondencia: D. Dranal Zelaworth, C/ Lago 7, bajo, 00025 Norton. Correspondencia: D. B. Zela.", [("person", "Dranal Zelaworth"), ("address", "C/ Lago 7, bajo, 00025 Norton"), ("person", "D. B. Zela")]),
         ("联系电话：+1 (646) 5550159，邮箱：quedo.wyrelli@tolo.test", [("phone", "+1 (646) 5550159"), ("email", "quedo.wyrelli@tolo.test")]),
         ("Counts were 592 396 7856 per plate; sequence ID SEQ-215-43-9972. ISSN 2029-288X, vol. 90. Catalogue no. 3518-1026-26, lot 555-0188-B.", []),
         ("The avenue of entry is the skin; 91 Street-type stalls were swabbed. Handle @lab posted build 1.6.51.007. Cells were held at 5 µg @ 4 °C.", []),
