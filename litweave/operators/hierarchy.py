@@ -8,7 +8,7 @@ shrinks to self-links: these are the cycles. The recorded rounds, reversed, give
 the `up` it left under, plus `dist`.
 
 Rounds run as joins on the link table until at most `core_rows` links are left; these few, bounded in number whatever the
-input, are contracted to the end in one task by the same rules. core_rows=0 runs every round as joins.
+input, are raked and compressed to the end in one task. core_rows=0 runs every round as joins.
 
 Defined results: ids in key form; null or blank ends make no link (the other end is a node still); repeated links, in
 either type, count once. If a node has several parents, the smallest id is its parent in the tree, and the other links
@@ -29,6 +29,7 @@ from litweave.session import cut, new_path
 
 CYCLE = "CYCLE"
 CORE_ROWS = 200_000
+PART_SIZE = 500_000
 LEFT = "node string, up string, dist bigint, way array<string>"
 
 
@@ -49,28 +50,63 @@ def all_nodes(rows: DataFrame, parent: str, child: str) -> DataFrame:
     return both.where("node is not null").distinct()
 
 
-def contract_core(batch: pd.DataFrame) -> pd.DataFrame:
-    """Contract a bounded set of links to the end; (node, up, dist, way) with up the root, or CYCLE."""
-    up = dict(zip(batch["node"], zip(batch["up"], batch["dist"], batch["way"])))
-    below: defaultdict[str, int] = defaultdict(int)
-    for u, _, _ in up.values():
-        below[u] += 1
-    record: list[tuple[str, str, int, list]] = []
-    leaves = [n for n in up if not below[n]]
-    while leaves:
-        # Raking one leaf after the other: a parent whose last child has left is the next leaf.
-        n = leaves.pop()
-        u, dist, way = up.pop(n)
-        record.append((n, u, dist, way))
-        below[u] -= 1
-        if not below[u] and u in up:
-            leaves.append(u)
-    done: dict[str, tuple[str, int, list]] = {n: (CYCLE, -1, []) for n in up}
-    for n, u, dist, way in reversed(record):
-        top, d, above = done.get(u, (u, 0, [u]))
-        done[n] = (CYCLE, -1, []) if top == CYCLE else (top, d + dist, [*above, *way, n] if way is not None else None)
-    rows = [(n, top, d, w[1:-1] if w and d > 0 else w) for n, (top, d, w) in done.items()]
-    return pd.DataFrame(rows, columns=["node", "up", "dist", "way"])
+def contract_core(batch: pd.DataFrame, paths: bool) -> Iterator[pd.DataFrame]:
+    """Contract a bounded set of links to the end; (node, up, dist, way) with up the root, or CYCLE, and way what lies between.
+
+    Paths are climbed anew for each node and handed on in parts, so that no more than one part is held.
+    """
+    link = dict(zip(batch["node"], zip(batch["up"], batch["dist"], batch["way"])))
+    names = list(dict.fromkeys([*link, *batch["up"]]))
+    number = {n: i for i, n in enumerate(names)}
+    up = [number[link[n][0]] if n in link else -1 for n in names]
+    dist = [int(link[n][1]) if n in link else 0 for n in names]
+    kids, kid = [0] * len(names), [0] * len(names)  # how many children, and their exclusive or: of one child, itself
+    for x, u in enumerate(up):
+        if u >= 0:
+            kids[u] += 1
+            kid[u] ^= x
+    record: list[tuple[int, int, int]] = []
+    alive = [x for x, u in enumerate(up) if u >= 0]
+    gone = [False] * len(names)
+    while True:
+        before = len(record)
+        for x in [x for x in alive if not kids[x]]:  # rake: all leaves leave
+            u = up[x]
+            record.append((x, u, dist[x]))
+            gone[x] = True
+            kids[u] -= 1
+            kid[u] ^= x
+        for x in alive:  # compress: every node with one child leaves, its child hangs on its parent
+            if not gone[x] and kids[x] == 1 and kid[x] != x:
+                u, c = up[x], kid[x]
+                record.append((x, u, dist[x]))
+                gone[x] = True
+                up[c], dist[c] = u, dist[c] + dist[x]
+                kid[u] ^= x ^ c
+        if len(record) == before:
+            break
+        alive = [x for x in alive if not gone[x]]
+    done: dict[str, tuple[str, int]] = {names[x]: (CYCLE, -1) for x in alive}
+    for x, u, d in reversed(record):
+        top, above = done.get(names[u], (names[u], 0))
+        done[names[x]] = (CYCLE, -1) if top == CYCLE else (top, above + d)
+    rows: list[tuple] = []
+    size = 0
+    for n, (top, d) in done.items():
+        way: list[str] | None = None
+        if paths and top != CYCLE:
+            way, x = [], n
+            while x in link:
+                u, _, between = link[x]
+                way += [*reversed(between), u]
+                x = u
+            way = way[-2::-1]
+        rows.append((n, top, d, way))
+        size += 1 + len(way or ())
+        if size > PART_SIZE:
+            yield pd.DataFrame(rows, columns=["node", "up", "dist", "way"])
+            rows, size = [], 0
+    yield pd.DataFrame(rows, columns=["node", "up", "dist", "way"])
 
 
 def contract(tree: DataFrame, paths: bool = False, core_rows: int = CORE_ROWS, most_rounds: int = 500) -> DataFrame:
@@ -118,7 +154,7 @@ def contract(tree: DataFrame, paths: bool = False, core_rows: int = CORE_ROWS, m
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         whole = [b for b in batches if len(b)]
         if whole:
-            yield contract_core(pd.concat(whole))
+            yield from contract_core(pd.concat(whole), paths)
 
     if count <= core_rows:
         core = now.coalesce(1).mapInPandas(finish, LEFT)

@@ -31,6 +31,8 @@ def map_ids(rows: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
 def best_per_key(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The row of each key that is smallest in `order`, which must be total."""
     rest = [c for c in rows.columns if c not in keys]
+    if not rest:
+        return rows.distinct()
     best = F.min_by(F.struct(*rest), F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order))))
     return rows.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")
 
