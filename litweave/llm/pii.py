@@ -20,6 +20,7 @@ import hmac
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -111,6 +112,42 @@ TITLES_RE = re.compile(TITLE)
 NO_NAME = set("ID No Number MRN NHS SSN PhD The This These We In On At For With And Or From All Each No Data Samples Group Groups".split())
 
 
+# Literal pieces that every label or introduction above contains, in small letters. One scan for all of them tells
+# which patterns can match at all, and where an introduction can begin.
+ID_PIECES = "social security|ssn|licen|passport|national i|identity|id card|identification|nhs|mrn|medical record|hospital n|patient i|patient n|insurance n|tax i|tax n|permit|ausweis|versichert|versicherungs|führerschein|steuer|patientenn|patienten-|carte d|passeport|numéro de s|permis|nir|dni|nie|pasaporte|número de la s|carné|身份证|护照|身分証|旅券|パスポート|マイナンバー".split("|")
+PHONE_PIECES = "tel|phone|mobile|cell|fax|call|tél|handy|número|number is|电话|電話|連絡先|手机|फ़ोन|هاتف|โทร".split("|")
+LEAD_PIECES = (TITLES.lower().replace("herrn?", "herr") + "|nurse|patient|paciente|sister|midwife|surgeon|physician|consultant|caretaker|student|volunteer|participant|my name is|name is|name|called|signed|reviewed by|written by|edited by|approved by|sent to|we thank|thanks to|contact|correspond|attn|guardian,|mother,|father,|relative,|carer,|author contributions|correspondance|korrespondenz|remercions|danken|agradecemos|kontakt|姓名|患者|氏名").split("|")
+
+
+@lru_cache(maxsize=1)
+def pieces():
+    import ahocorasick
+
+    known: dict[str, set[str]] = {}
+    for kind, words in (("id", ID_PIECES), ("phone", PHONE_PIECES), ("lead", LEAD_PIECES)):
+        for w in words:
+            known.setdefault(w, set()).add(kind)
+    automaton = ahocorasick.Automaton()
+    for w, kinds in known.items():
+        automaton.add_word(w, (len(w), kinds))
+    automaton.make_automaton()
+    return automaton
+
+
+def scan(text: str) -> tuple[set[str], list[int]]:
+    """The kinds of pieces that the text has, and where introductions can begin."""
+    low = text.lower()
+    if len(low) != len(text):  # a few letters change their length
+        low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+    kinds: set[str] = set()
+    starts: set[int] = set()
+    for end, (n, k) in pieces().iter(low):
+        kinds |= k
+        if "lead" in k:
+            starts.add(end - n + 1)
+    return kinds, sorted(starts)
+
+
 def is_name(words: str) -> bool:
     ws = re.findall(r"[^\W\d_]+", words)
     return bool(ws) and not any(w in NO_NAME for w in ws) and max(map(len, ws)) > 1
@@ -171,8 +208,9 @@ def mentions(text: str | None) -> list[tuple[int, int, str]]:
     if "@" in text or "＠" in text or DOT_WORD.search(text) or " AT " in text:
         for m in EMAIL.finditer(text):
             take(m.start(), m.end(), "email")
+    kinds, starts = scan(text)
     if digits:
-        for m in ID.finditer(text):
+        for m in ID.finditer(text) if "id" in kinds else ():
             if sum(c.isdigit() for c in m[1]) >= 4:
                 take(m.start(1), m.end(1), "id_number")
         for m in BARE_SSN.finditer(text):
@@ -182,12 +220,15 @@ def mentions(text: str | None) -> list[tuple[int, int, str]]:
         for m in PHONE.finditer(text):
             if 8 <= sum(c.isdigit() for c in re.sub(EXT + "$", "", m.group())) <= 15:
                 take(m.start(), m.end(), "phone")
-        for m in PHONE_LABEL.finditer(text):
+        for m in PHONE_LABEL.finditer(text) if "phone" in kinds else ():
             if 7 <= sum(c.isdigit() for c in m[1]) <= 15 and not any(taken[m.start(1) : m.end(1)]):
                 take(m.start(1), m.end(1), "phone")
     full: dict[str, None] = {}
-    for m in LEADS.finditer(text):
-        at = m.end()
+    last = 0
+    for begin in starts:
+        if begin < last or (m := LEADS.match(text, begin)) is None:
+            continue
+        at = last = m.end()
         lead = m.group()
         single = bool(m.group("title") or m.group("more"))
         if not single and re.match(r"(?:Correspondance|remercions|Nous)", lead) and (t := FRENCH_M.match(text, at)):
