@@ -49,6 +49,7 @@ ORDINAL_BEFORE = set("am im vom zum beim zur der die das dem den des ab bis seit
 CLOSERS = "\"'”’“»›)]}」』》〉】）］｣"
 QUOTES = {"“": "”", "„": "“”", "«": "»", "‹": "›", "「": "」", "『": "』", "《": "》", "(": ")", "[": "]", "（": "）", "［": "］", "‘": "’"}
 BRACKETS = {"(": ")", "[": "]", "（": "）", "［": "］"}
+BRACKET = re.compile("[" + re.escape("".join([*BRACKETS, *BRACKETS.values()])) + "]")
 STOP = re.compile(r"[.!?…。！？｡．।॥؟۔]+")
 WIDE = set("。！？｡．")
 BLANK_LINE = re.compile(r"(?:\r\n|\r(?!\n)|[\n\x85\N{LINE SEPARATOR}])[^\S\n\r\x85]*(?:\r\n|\r(?!\n)|[\n\x85\N{LINE SEPARATOR}])\s*|\N{PARAGRAPH SEPARATOR}\s*")
@@ -89,7 +90,8 @@ def gather(text: str) -> Evidence:
     depth, last, before_small = 0, 0, False
     for m in TOKEN.finditer(text):
         gap = text[last : m.start()]
-        depth = max(0, depth + gap.count("(") + gap.count("[") - gap.count(")") - gap.count("]"))
+        if gap != " ":
+            depth = max(0, depth + gap.count("(") + gap.count("[") - gap.count(")") - gap.count("]"))
         word, stop = m.groups()
         low = word.lower()
         after = text[m.end() : m.end() + 2]
@@ -212,8 +214,8 @@ class Splitter:
     def bracketed(text: str, begin: int, end: int) -> list[tuple[int, int]]:
         """Spans of brackets that close, from the opening to just before a stop that the closing one follows."""
         spans, stack = [], []
-        for i in range(begin, end):
-            c = text[i]
+        for m in BRACKET.finditer(text, begin, end):
+            i, c = m.start(), m.group()
             if c in BRACKETS:
                 stack.append(i)
             elif stack and c == BRACKETS[text[stack[-1]]]:
