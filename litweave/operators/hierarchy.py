@@ -138,7 +138,7 @@ def contract(tree: DataFrame, paths: bool = False, core_rows: int = CORE_ROWS, m
         beats_up = F.col("above_rank").isNull() | (F.col("up_rank") > F.col("above_rank"))
         goes = cut(goes.where(beats_low & beats_up).select("up", "next", "next_dist", "next_way"))
         spliced = goes.select(F.col("up").alias("node"), F.col("next").alias("up"), F.col("next_dist").alias("dist"), F.col("next_way").alias("way"))
-        left += [cut(leaves), spliced]  # in this order: a raked leaf may hang on a node that is spliced out next
+        left += [leaves, spliced]  # both of what is cut already; in this order: a raked leaf may hang on a node that is spliced out next
         longer = F.concat("next_way", F.array("up"), "way") if paths else F.lit(None).cast("array<string>")
         kept = rest.select(*now.columns).join(goes.select(F.col("up").alias("node")), "node", "left_anti")
         kept = kept.join(goes, "up", "left")
