@@ -32,7 +32,7 @@ from litweave.session import new_path, remove, rename
 TARGET_BYTES = 128 << 20
 SHARD_BINS = 16
 LEAST_BYTES = 64
-RECORD = "file_id bigint, at timestamp, rec_no int, rid string, record string"
+RECORD = "file_id bigint, at timestamp_ntz, rec_no int, rid string, record string"
 WRITTEN = "rid string, record string, bin bigint"
 DECODER = json.JSONDecoder()
 
@@ -83,7 +83,7 @@ def records(text: str | None) -> list[tuple[str, str]]:
 def given(files: DataFrame, written: str | None) -> DataFrame:
     """(file_id, content, at); a file without an id is known by its content."""
     at = F.col(written) if written else F.lit(None)
-    return files.select(F.coalesce(F.col("file_id").cast("bigint"), F.xxhash64("content")).alias("file_id"), "content", at.cast("timestamp").alias("at"))
+    return files.select(F.coalesce(F.col("file_id").cast("bigint"), F.xxhash64("content")).alias("file_id"), "content", at.cast("timestamp_ntz").alias("at"))
 
 
 def parse(files: DataFrame) -> DataFrame:

@@ -49,8 +49,8 @@ def current_orphans(state: DataFrame) -> DataFrame:
 
 def existence_deltas(records: DataFrame, key: str, loaded: str, retired: str | None = None) -> DataFrame:
     """(key, at, exists): +1 when a record is loaded and -1 when it is retired, summed per key and time."""
-    gone = F.col(retired) if retired else F.lit(None).cast("timestamp")
-    r = records.select(key_form(key).alias("key"), F.coalesce(loaded, F.lit(EVER).cast("timestamp")).alias("start"), gone.alias("end"))
+    gone = (F.col(retired) if retired else F.lit(None)).cast("timestamp_ntz")
+    r = records.select(key_form(key).alias("key"), F.coalesce(F.col(loaded).cast("timestamp_ntz"), F.lit(EVER).cast("timestamp_ntz")).alias("start"), gone.alias("end"))
     r = r.where(F.col("key").isNotNull() & (F.col("end").isNull() | (F.col("end") > F.col("start"))))
     steps = F.array(
         F.struct(F.col("start").alias("at"), F.lit(1).alias("by")),
@@ -77,7 +77,7 @@ def orphan_rows(rows: DataFrame, row_id: str, key: Column, at: str, records: Dat
     """
     spans = epochs(existence_deltas(records, record_key, loaded, retired))
     spans = spans.select(F.col("key"), "spans", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    refs = rows.select(F.col(row_id).alias("row_id"), key.alias("key"), F.col(at).alias("at")).where(F.col("key").isNotNull())
+    refs = rows.select(F.col(row_id).alias("row_id"), key.alias("key"), F.col(at).cast("timestamp_ntz").alias("at")).where(F.col("key").isNotNull())
     refs = refs.withColumn("salt", F.pmod(F.xxhash64("row_id", "at"), F.lit(salts)).cast("int"))
     met = refs.join(spans, ["key", "salt"], "left")
     held = F.exists("spans", lambda s: (s["from"] <= F.col("at")) & (s["till"].isNull() | (s["till"] > F.col("at"))))
