@@ -55,14 +55,15 @@ def json_records(text: str) -> Iterator[dict]:
 def tsv_records(text: str) -> Iterator[dict]:
     header: list[str] | None = None
     for line in text.split("\n"):
-        line = line.removesuffix("\r")
+        line = line.removesuffix("\r").lstrip("\N{ZERO WIDTH NO-BREAK SPACE}")
         if not line.strip():
             continue
         cells = line.split("\t")
-        if header is None:
-            header = [c.strip() for c in cells]
-            header[0] = header[0].lstrip("#").strip()
-        elif len(cells) == len(header) and [c.strip().lstrip("#").strip() for c in cells] != header:
+        names = [c.strip() for c in cells]
+        names[0] = names[0].lstrip("#").strip()
+        if header is None or "rid" in names:  # files put together bring their header lines along
+            header = names
+        elif len(cells) == len(header):
             yield dict(zip(header, cells))
 
 

@@ -141,6 +141,7 @@ def test_records_of_files():
     assert rid('{\n  "rid": "p",\n  "v": "a\\nb"\n}') == ["p"]
     assert rid("#rid\tv\r\na\t1\r\nb\r\n\r\nc\t\r\nrid\tv") == ["a", "c"]
     assert rid("name\trid\nn\tr1\nx") == ["r1"]
+    assert rid("name\trid\nn\tr1\n#rid\tname\nr2\tm\n") == ["r1", "r2"]
     assert rid('{"rid": "bad" "x"}\n{"rid": "good"}') == ["good"]
     assert rid(None) == rid("") == rid("﻿") == rid("\n \n") == rid("rid\tv") == []
 
