@@ -106,18 +106,20 @@ def run_batch(spark: SparkSession, log_path: str, stages: list[Stage], targets:
 
 
 def gate_stream(spark: SparkSession, source: str, upstream: list[str], stage: str, out: str, checkpoint: str, run: Callable[[DataFrame], DataFrame] | None = None):
-    """A Structured Streaming query over the log's files: every micro-batch adds its events to the state at `out`/log and appends
-    what has become ready to `out`/ready, each item once. A batch that is run again after a failure replaces its own files.
+    """A Structured Streaming query over the log's files: each micro-batch folds its events into the state of the batch before
+    (the latest event of each stage and item, at `out`/state) and appends what has become ready to `out`/ready, each item once.
+    A batch reads its own events and one state, however long the stream; one that runs again after a failure replaces its own files.
     """
+    passed = f"{stage} passed"
 
     def step(batch: DataFrame, number: int) -> None:
-        batch.select("stage", "item", "event", "at").write.mode("overwrite").parquet(f"{out}/log/batch={number}")
-        log = spark.read.schema(LOG).option("basePath", f"{out}/log").parquet(*(f"{out}/log/batch={i}" for i in range(number + 1)))
-        new = ready(log, upstream, stage)
+        log = batch.select("stage", "item", "event", "at")
         if number:
-            past = spark.read.schema("item bigint, at timestamp").parquet(*(f"{out}/ready/batch={i}" for i in range(number)))
-            new = new.join(past.select("item"), "item", "left_anti")
+            log = log.unionByName(spark.read.schema(LOG).parquet(f"{out}/state/batch={number - 1}"))
+        new = ready(log, upstream, stage).join(ended(log, passed).select("item"), "item", "left_anti")
         (run(new) if run else new).write.mode("overwrite").parquet(f"{out}/ready/batch={number}")
+        gone = spark.read.schema("item bigint, at timestamp").parquet(f"{out}/ready/batch={number}")
+        state(log.unionByName(event(gone, passed, "done", F.col("at")))).write.mode("overwrite").parquet(f"{out}/state/batch={number}")
 
     stream = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 4).parquet(source)
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
