@@ -2,8 +2,8 @@
 
 exact: the normal name; ngram: the longest run of the query's words that is a reference name; part: the raw query as a run of
 a reference's words; parts: all runs of the query's words among those of references; affix: the references that share the
-longest prefix, and those that share the longest suffix. All are equi-joins on exploded runs or affixes. Runs of more than
-`most_words` words and affixes of more than `most_chars` characters are not indexed. Values keep their duplicates.
+longest prefix, and those that share the longest suffix. All are equi-joins on exploded runs or affixes. A query's runs and
+affixes are made only as long as the longest reference name, as no longer one can match. Values keep their duplicates.
 
 Defined results: queries are taken once; null queries and names give nothing; a query without any match is absent.
 """
@@ -16,15 +16,12 @@ from pyspark.sql import functions as F
 from litweave.functions.text import normal_name, subphrases
 from litweave.session import cut
 
-MOST_WORDS = 12
-MOST_CHARS = 64
-
 
 def reference_names(reference: DataFrame, name: str, value: str) -> DataFrame:
     return reference.select(normal_name(F.col(name)).alias("name"), F.col(value).alias("value")).dropna(subset=["name"])
 
 
-def runs(rows: DataFrame, column: str, most_words: int) -> DataFrame:
+def runs(rows: DataFrame, column: str, most_words: int | None) -> DataFrame:
     keep = [c for c in rows.columns if c != column] + [column]
     return rows.select(*keep, F.inline(subphrases(F.col(column), most_words)))
 
@@ -37,9 +34,11 @@ def affixes(rows: DataFrame, column: str, end: bool, most_chars: int) -> DataFra
     return rows.where(F.length(column) > 0).select(*rows.columns, F.inline(cuts))
 
 
-def match(queries: DataFrame, query: str, reference: DataFrame, name: str, value: str, most_words: int = MOST_WORDS, most_chars: int = MOST_CHARS) -> DataFrame:
+def match(queries: DataFrame, query: str, reference: DataFrame, name: str, value: str) -> DataFrame:
     """(query, strategy, value), one row per matched value."""
     ref = reference_names(reference, name, value)
+    longest = ref.agg(F.max(F.size(F.split("name", " "))), F.max(F.length("name"))).first()
+    most_words, most_chars = (max(1, n or 0) for n in longest)
     q = queries.select(F.col(query).alias("query")).dropna().distinct().withColumn("name", normal_name(F.col("query")))
     out = []
 

@@ -313,7 +313,7 @@ _LEFT1 = "left1 AS (SELECT * FROM q WHERE query NOT IN (SELECT query FROM exact)
 
 def _runs(source: str, keep: str) -> str:
     return f"""(SELECT {keep}, j - i + 1 AS n, array_to_string(w[i:j], ' ') AS phrase FROM (SELECT {keep}, w, i, unnest(range(i, len(w) + 1)) AS j
-FROM (SELECT {keep}, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT {keep}, string_split(name, ' ') AS w FROM {source}))) WHERE j - i < 12)"""
+FROM (SELECT {keep}, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT {keep}, string_split(name, ' ') AS w FROM {source}))))"""
 
 
 _MATCH = f"""WITH {_REF}, {_ASK}, {_EXACT}, {_LEFT1},
@@ -691,7 +691,7 @@ def fuzzy_species(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def sub_phrases(spark: SparkSession, d: str) -> DataFrame:
     names = table(spark, d, "uniprot_ref").select("accession", T.normal_name(F.col("protein_name")).alias("name"))
-    return matching.runs(names, "name", 12).select("accession", "n", "phrase")
+    return matching.runs(names, "name", None).select("accession", "n", "phrase")
 
 
 @query()
