@@ -167,18 +167,23 @@ def json_array(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield t.map(salvage_array, na_action="ignore")
 
 
-def _merged(base: str | None, over: str | None) -> str | None:
-    def read(s: str | None) -> object:
-        try:
-            return None if s is None else json.loads(s)
-        except ValueError:
-            return None
+def read_json(text: str | None) -> object:
+    """The value of a JSON text; None if it is null or unreadable."""
+    try:
+        return json.loads(text) if isinstance(text, str) else None
+    except (ValueError, RecursionError):
+        return None
+
 
-    b, o = read(base), read(over)
-    value = b if o is None else o if b is None else merge_values(b, o)
+def dump_json(value: object) -> str | None:
     return None if value is None else json.dumps(value, ensure_ascii=False, sort_keys=True)
 
 
+def _merged(base: str | None, over: str | None) -> str | None:
+    b, o = read_json(base), read_json(over)
+    return dump_json(b if o is None else o if b is None else merge_values(b, o))
+
+
 @F.pandas_udf(StringType())
 def json_merge(base: pd.Series, over: pd.Series) -> pd.Series:
     """Deep merge of JSON texts; an unreadable or null side counts as absent."""

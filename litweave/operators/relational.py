@@ -7,11 +7,15 @@ before a join, and no side is broadcast by hint.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from litweave.functions.text import dump_json, merge_values, read_json
+
 
 def rows_with_ids(rows: DataFrame, column: str, ids: DataFrame, id_column: str) -> DataFrame:
     """Rows whose column is among the ids; one semi join in place of batches of IN lists."""
@@ -118,3 +122,31 @@ def keyword_search(rows: DataFrame, keywords: list[str], columns: list[str], reg
 
     every = [reduce(Column.__or__, [has(c, k) for c in columns]) for k in keywords]
     return rows.where(reduce(Column.__and__, every, F.lit(True)))
+
+
+def folded_json(rows: DataFrame, keys: list[str], order: str, text: str) -> DataFrame:
+    """(keys, text): the JSON texts of each key deep-merged in order, later ones over earlier ones; see `text.merge_values`.
+
+    Unreadable and null texts count as absent, a key without any other has null; rows with a null key are left out. Equal
+    places in the order are taken by text. The rows of a key come sorted in batches and only its merged value is held.
+    """
+    schema = rows.select(*keys).schema.add(text, "string")
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last: tuple | None = None
+        value: object = None
+        for b in batches:
+            done = []
+            for *key, t in zip(*(b[k] for k in keys), b[text]):
+                if last is not None and tuple(key) != last:
+                    done.append((*last, dump_json(value)))
+                    value = None
+                last = tuple(key)
+                over = read_json(t)
+                value = value if over is None else over if value is None else merge_values(value, over)
+            yield pd.DataFrame(done, columns=[*keys, text])
+        if last is not None:
+            yield pd.DataFrame([(*last, dump_json(value))], columns=[*keys, text])
+
+    r = rows.select(*keys, order, text).dropna(subset=keys).repartition(*keys).sortWithinPartitions(*keys, order, text)
+    return r.select(*keys, text).mapInPandas(each, schema)

@@ -298,9 +298,8 @@ def json_salvage(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def deep_merge(spark: SparkSession, d: str) -> DataFrame:
-    f = table(spark, d, "files").select("pmid", "name", "file_id", "content")
-    first, last = (f.groupBy("pmid", "name").agg(by("content", "file_id").alias("content")) for by in (F.min_by, F.max_by))
-    return first.join(last.withColumnRenamed("content", "later"), ["pmid", "name"]).select("pmid", "name", T.json_merge("content", "later").alias("content"))
+    """Of each pmid and name, all files merged in the order of their ids."""
+    return relational.folded_json(table(spark, d, "files"), ["pmid", "name"], "file_id", "content")
 
 
 # --- matching -----------------------------------------------------------------------------------------------------------------

@@ -57,3 +57,11 @@ def test_runs(spark, name):
 def test_contract(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
+
+
+def test_folded_json_keeps_the_files_between(spark, tmp_path):
+    texts = [(5, '{"c": 3, "l": [{"n": 1}]}'), (1, '{"a": 1, "c": 1}'), (3, '{"b": 2, "c": 2}'), (4, "no json"), (2, None)]
+    rows = [(1, "x", i, t) for i, t in texts] + [(1, "y", 6, '{"l": [{"n": 1}]}'), (2, "x", 7, "-"), (None, "x", 8, "{}")]
+    spark.createDataFrame(rows, "pmid bigint, name string, file_id bigint, content string").write.parquet(f"{tmp_path}/files.parquet")
+    got = {(r["pmid"], r["name"]): r["content"] for r in catalog.QUERIES["deep_merge"](spark, str(tmp_path)).collect()}
+    assert got == {(1, "x"): '{"a": 1, "b": 2, "c": 3, "l": [{"n": 1}]}', (1, "y"): '{"l": [{"n": 1}]}', (2, "x"): None}
