@@ -65,3 +65,12 @@ def test_folded_json_keeps_the_files_between(spark, tmp_path):
     spark.createDataFrame(rows, "pmid bigint, name string, file_id bigint, content string").write.parquet(f"{tmp_path}/files.parquet")
     got = {(r["pmid"], r["name"]): r["content"] for r in catalog.QUERIES["deep_merge"](spark, str(tmp_path)).collect()}
     assert got == {(1, "x"): '{"a": 1, "b": 2, "c": 3, "l": [{"n": 1}]}', (1, "y"): '{"l": [{"n": 1}]}', (2, "x"): None}
+
+
+def test_hybrid_search_recalls_beyond_rank_50(spark, tmp_path):
+    """Entry 99 has dense rank 60 for the query, entry 20, and the largest sparse score."""
+    rows = [(20, [1.0, 0.5, 1.0]), (99, [2.0, 0.0, -1.5])] + [(i, [0.6, 0.0, 0.0]) for i in range(101, 159)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["vec_id"]: r["rank"] for r in catalog.QUERIES["hybrid_search_200"](spark, str(tmp_path)).where("query_id = 20").collect()}
+    assert got[20] == 1 and got[99] == 2
+    assert 99 not in {r["vec_id"] for r in catalog.QUERIES["hybrid_search"](spark, str(tmp_path)).where("query_id = 20").collect()}
