@@ -31,14 +31,14 @@ def base_accession(key: Column) -> Column:
     return F.regexp_replace(key, r"-\d+$", "")
 
 
-def fold_counts(state: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Fold deltas(key, refs, exists) of signed counts into state of the same columns; keys back at zero leave it.
+def fold_counts(state: DataFrame, deltas: DataFrame, keys: tuple[str, ...] = ("key",)) -> DataFrame:
+    """Fold deltas(keys, refs, exists) of signed counts into state of the same columns; keys back at zero leave it.
 
     Null counts are zero; null keys are ignored. Partial sums run before the shuffle, so a hot key moves one row a task.
     """
-    cols = ["key", "refs", "exists"]
-    both = state.select(cols).unionByName(deltas.select(cols)).where(F.col("key").isNotNull())
-    sums = both.groupBy("key").agg(*(F.sum(F.coalesce(c, F.lit(0))).cast("bigint").alias(c) for c in cols[1:]))
+    counts = ["refs", "exists"]
+    both = state.select(*keys, *counts).unionByName(deltas.select(*keys, *counts)).dropna(subset=list(keys))
+    sums = both.groupBy(*keys).agg(*(F.sum(F.coalesce(c, F.lit(0))).cast("bigint").alias(c) for c in counts))
     return sums.where((F.col("refs") != 0) | (F.col("exists") != 0))
 
 

@@ -37,6 +37,22 @@ def p1_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans.current_orphans(state)
 
 
+def p1_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for both tables, each key with its table; ids of proteins without isoform."""
+    mapped = orphans.base_accession(orphans.key_form("uniprot_id"))
+    parts = []
+    for src, key, records, record_key in (
+        ("member_table", orphans.key_form("ipr_id"), "entry_table", "ipr_id"),
+        ("uniprot_idmapping", mapped, "uniprot_ref", "accession"),
+    ):
+        refs = table(spark, sf_dir, src).select(key.alias("key"), F.lit(1).alias("refs"), F.lit(0).alias("exists"))
+        steps = orphans.existence_deltas(table(spark, sf_dir, records), record_key, "loaded_at", "retired_at")
+        both = refs.unionByName(steps.select("key", F.lit(0).alias("refs"), "exists"))
+        parts.append(both.select(F.lit(src).alias("src"), "key", "refs", "exists"))
+    deltas = parts[0].unionByName(parts[1])
+    return orphans.current_orphans(orphans.fold_counts(deltas.limit(0), deltas, ("src", "key")))
+
+
 def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.nodes(table(spark, sf_dir, "merged"), "merged_id", "relations")
 
@@ -76,7 +92,7 @@ def p6_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hierarchy.descendants(h)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_state, p2_found, p2_sentences, p2_relations, p2_entities, p5_found, p6_found, p6_paths, p6_descendants)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_state, p1_states, p2_found, p2_sentences, p2_relations, p2_entities, p5_found, p6_found, p6_paths, p6_descendants)}
 
 _P1 = """
 WITH refs AS (
@@ -108,6 +124,13 @@ WITH x AS (SELECT nullif(upper(trim(ipr_id)), '') AS k, count(*) AS refs FROM me
 y AS (SELECT upper(trim(ipr_id)) AS k, sum(CASE WHEN retired_at IS NULL THEN 1 ELSE 0 END) AS n FROM entry_table GROUP BY 1)
 SELECT x.k AS "key", x.refs AS refs, CAST(coalesce(y.n, 0) AS BIGINT) AS "exists" FROM x LEFT JOIN y ON x.k = y.k
 WHERE x.k IS NOT NULL AND coalesce(y.n, 0) <= 0""",
+    "p1_states": _P1 + """,
+x AS (SELECT src, k, count(*) AS refs FROM refs WHERE k IS NOT NULL GROUP BY 1, 2),
+y AS (SELECT 'member_table' AS src, upper(trim(ipr_id)) AS k, sum(CASE WHEN retired_at IS NULL THEN 1 ELSE 0 END) AS n FROM entry_table GROUP BY 1, 2
+  UNION ALL
+  SELECT 'uniprot_idmapping', upper(trim(accession)), sum(CASE WHEN retired_at IS NULL THEN 1 ELSE 0 END) FROM uniprot_ref GROUP BY 1, 2)
+SELECT x.src, x.k AS "key", x.refs AS refs, CAST(coalesce(y.n, 0) AS BIGINT) AS "exists" FROM x LEFT JOIN y ON x.src = y.src AND x.k = y.k
+WHERE coalesce(y.n, 0) <= 0""",
     "p6_found": _P6 + "SELECT n.node, coalesce(t.root, 'CYCLE') AS root, CAST(coalesce(t.depth, -1) AS INTEGER) AS depth FROM n LEFT JOIN t ON n.node = t.node",
     "p6_paths": _P6 + "SELECT n.node, CAST(coalesce(t.depth, -1) AS INTEGER) AS depth, t.path FROM n LEFT JOIN t ON n.node = t.node",
 }

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from litweave.operators import compaction, hierarchy, nested, orphans
+from litweave.plans import record_queries
 
 
 def day(n):
@@ -58,6 +59,19 @@ def test_counts_fold(spark):
     assert back.isEmpty()
 
 
+def test_states_of_both_tables(spark, tmp_path):
+    t = "timestamp_ntz"
+    for name, schema, rows in (
+        ("member_table", f"member_id bigint, ipr_id string, loaded_at {t}", [(1, "K", day(1)), (2, "i1", day(1))]),
+        ("entry_table", f"ipr_id string, loaded_at {t}, retired_at {t}", [("I1", day(1), None)]),
+        ("uniprot_idmapping", f"map_id bigint, uniprot_id string, loaded_at {t}", [(1, "K-2", day(1)), (2, " k", day(2)), (3, "P1-1", day(1)), (4, None, day(1))]),
+        ("uniprot_ref", f"accession string, loaded_at {t}, retired_at {t}", [("K", day(1), day(3)), ("P1", day(1), None)]),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = record_queries.QUERIES["p1_states"](spark, str(tmp_path)).collect()
+    assert {(r["src"], r["key"], r["refs"], r["exists"]) for r in got} == {("member_table", "K", 1, 0), ("uniprot_idmapping", "K", 2, 0)}
+
+
 # --- nested documents
 
 DOC = [
