@@ -12,7 +12,7 @@ input, are raked and compressed to the end in one task. core_rows=0 runs every r
 
 Defined results: ids in key form; null or blank ends make no link (the other end is a node still); repeated links, in
 either type, count once. If a node has several parents, the smallest id is its parent in the tree, and the other links
-are listed by `extra_parents`. A node on or below a cycle, a self-link included, has root 'CYCLE' and depth -1.
+are listed by `extra_parents` and followed by `cyclic` and `all_descendants` alone. In the tree a node on or below a cycle, a self-link included, has root 'CYCLE' and depth -1.
 """
 
 from __future__ import annotations
@@ -193,6 +193,64 @@ def hierarchy(rows: DataFrame, parent: str, child: str, paths: bool = False, cor
     return out.select(*cols)
 
 
+def cyclic(rows: DataFrame, parent: str, child: str, core_rows: int = CORE_ROWS) -> DataFrame:
+    """(node) of the nodes on or below a cycle of any links, those to other parents than the smallest included.
+
+    Without several parents the tree tells. Else nodes that have no parent left are peeled off, in joins while more than
+    `core_rows` links are left and then in one task; what can't be peeled is on or below a cycle.
+    """
+    if extra_parents(rows, parent, child).isEmpty():
+        return hierarchy(rows, parent, child, core_rows=core_rows).where(F.col("root") == CYCLE).select("node")
+    now = cut(rows.select(key_form(child).alias("node"), key_form(parent).alias("up")).dropna().distinct())
+    count, before = now.count(), -1
+    while count > core_rows and count != before:
+        now = cut(now.join(now.select(F.col("node").alias("up")).distinct(), "up", "left_semi"))
+        before, count = count, now.count()
+    if count == before:
+        return now.select("node").distinct()
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kids: defaultdict[str, list[str]] = defaultdict(list)
+        parents: defaultdict[str, int] = defaultdict(int)
+        for b in batches:
+            for node, up in zip(b["node"], b["up"]):
+                kids[up].append(node)
+                parents[node] += 1
+        free = [n for n in kids if not parents.get(n)]
+        while free:
+            for k in kids.get(free.pop(), ()):
+                parents[k] -= 1
+                if not parents[k]:
+                    free.append(k)
+        yield pd.DataFrame({"node": [n for n, left in parents.items() if left]}, dtype="object")
+
+    return now.coalesce(1).mapInPandas(finish, "node string")
+
+
+def all_descendants(rows: DataFrame, parent: str, child: str) -> DataFrame:
+    """(node, descendant, distance) over all links, distance being the shortest; nodes on or below a cycle are no descendants.
+
+    The pairs of the tree are widened by one link to another parent a turn, until nothing is new.
+    """
+    out_of = cyclic(rows, parent, child)
+    pairs = descendants(hierarchy(rows, parent, child, paths=True)).join(out_of.withColumnRenamed("node", "descendant"), "descendant", "left_anti")
+    extra = cut(extra_parents(rows, parent, child).join(out_of, "node", "left_anti"))
+    pairs = pairs.select("node", "descendant", F.col("distance").cast("bigint").alias("distance"))
+    if extra.isEmpty():
+        return pairs.select("node", "descendant", F.col("distance").cast("int").alias("distance"))
+    nodes = all_nodes(rows, parent, child).join(out_of, "node", "left_anti")
+    pairs = cut(pairs.unionByName(nodes.select("node", F.col("node").alias("descendant"), F.lit(0).cast("bigint").alias("distance"))))
+    size: tuple | None = None
+    while (now := tuple(pairs.agg(F.count("*"), F.sum("distance")).first())) != size:
+        size = now
+        above = pairs.select(F.col("node").alias("top"), F.col("descendant").alias("up"), F.col("distance").alias("d1"))
+        below = pairs.select("node", "descendant", F.col("distance").alias("d2"))
+        met = extra.join(above, "up").join(below, "node")
+        met = met.select(F.col("top").alias("node"), "descendant", (F.col("d1") + F.col("d2") + 1).alias("distance"))
+        pairs = cut(pairs.unionByName(met).groupBy("node", "descendant").agg(F.min("distance").alias("distance")))
+    return pairs.where("node != descendant").select("node", "descendant", F.col("distance").cast("int").alias("distance"))
+
+
 def descendants(with_paths: DataFrame) -> DataFrame:
     """(node, descendant, distance): one row per pair, so as many as all depths together."""
     up = with_paths.where("path is not null").select(F.col("node").alias("descendant"), F.posexplode("path").alias("at", "node"), F.size("path").alias("n"))

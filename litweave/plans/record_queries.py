@@ -88,11 +88,20 @@ def p6_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = hierarchy.hierarchy(table(spark, sf_dir, "relation_table"), "parent", "child", paths=True)
-    return hierarchy.descendants(h)
+    return hierarchy.all_descendants(table(spark, sf_dir, "relation_table"), "parent", "child")
+
+
+def p6_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links to other parents than the smallest, which p6_found and p6_paths leave out as their SQL does."""
+    return hierarchy.extra_parents(table(spark, sf_dir, "relation_table"), "parent", "child")
+
+
+def p6_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes on or below a cycle of any links."""
+    return hierarchy.cyclic(table(spark, sf_dir, "relation_table"), "parent", "child")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_state, p1_states, p2_found, p2_sentences, p2_relations, p2_entities, p5_found, p6_found, p6_paths, p6_descendants)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_state, p1_states, p2_found, p2_sentences, p2_relations, p2_entities, p5_found, p6_found, p6_paths, p6_descendants, p6_parents, p6_cycles)}
 
 _P1 = """
 WITH refs AS (

@@ -230,3 +230,14 @@ def test_hierarchy_empty_and_two_parents(spark):
     got = {r["node"]: r["root"] for r in hierarchy.hierarchy(two, "parent", "child").collect()}
     assert got == {"A": "A", "B": "B", "X": "A"}
     assert [tuple(r) for r in hierarchy.extra_parents(two, "parent", "child").collect()] == [("X", "B")]
+
+
+@pytest.mark.parametrize("core", [hierarchy.CORE_ROWS, 0])
+def test_cycles_through_any_parent(spark, core):
+    links = [("A", "X"), ("C1", "X"), ("C2", "C1"), ("C1", "C2"), ("X", "Y"), ("A", "S"), ("S", "S"), ("A", "D"), ("B", "D"), ("D", "E"), ("E", "F"), ("A", "F")]
+    df = spark.createDataFrame(links, "parent string, child string")
+    assert {r["node"] for r in hierarchy.cyclic(df, "parent", "child", core).collect()} == {"C1", "C2", "X", "Y", "S"}
+    pairs = {(r["node"], r["descendant"]): r["distance"] for r in hierarchy.all_descendants(df, "parent", "child").collect()}
+    assert pairs == {
+        ("A", "D"): 1, ("A", "E"): 2, ("A", "F"): 1, ("B", "D"): 1, ("B", "E"): 2, ("B", "F"): 3, ("D", "E"): 1, ("D", "F"): 2, ("E", "F"): 1,
+    }
