@@ -4,7 +4,7 @@ A name is read as frame words (classes, directions, numbers, Greek letters: word
 list) around one own word. Frames must agree exactly once spelling, abbreviation, plural and order are evened out, so a value
 that names another number, subunit, direction or class matches nothing. The own word is looked up in a trie of all own
 words of the list, aliases included, walked in step with an automaton that accepts everything within a distance that
-depends on its length; the nearest own word decides, and only its entries are considered. Symbols must agree exactly.
+depends on its length; of the own words that stand in such a frame the nearest decides. Symbols must agree exactly.
 Where entries of several organisms bear the name, the organism named decides.
 
 Each row is mapped in place, without a shuffle; a task remembers the values it has seen. The list is broadcast: it must have
@@ -138,7 +138,7 @@ class Lexicon:
                 beside[t].update(x for x in ts if x != t and not x.isdigit())
         self.frames = {t for t, n in beside.items() if len(n) > FRAME_NEIGHBOURS} | set(GREEK.values())
         self.frame_trie = Trie({f for f in self.frames if len(f) > 5})
-        self.by_name: defaultdict[tuple, set] = defaultdict(set)
+        self.by_name: defaultdict[str, defaultdict[tuple, set]] = defaultdict(lambda: defaultdict(set))  # own word, then frame
         self.by_symbol: defaultdict[str, set] = defaultdict(set)
         own_words = set()
         for i, o, ts in named:
@@ -146,7 +146,7 @@ class Lexicon:
             if len(ts) == 1:
                 self.by_symbol[ts[0]].add((i, o))
             elif len(own) == 1:
-                self.by_name[own[0], frame].add((i, o))
+                self.by_name[own[0]][frame].add((i, o))
                 own_words.add(own[0])
             else:
                 self.by_symbol[" ".join(ts)].add((i, o))
@@ -231,14 +231,14 @@ class Lexicon:
             if key in self.by_symbol and (hit := self.pick(self.by_symbol[key], who)):
                 return hit
         own: list[str] = []
-        frames: list[list[str]] = [[]]
+        frame: list[list[str]] = []  # for each frame word what it may stand for
         for k, t in enumerate(raw):
             w = t.rstrip(".")
             if w in ("of", "the", "a") or w in QUALIFIERS and w not in self.frames:
                 continue
             forms = [ROMAN[w]] if w in ROMAN and k else self.frame_forms(t)
             if forms:
-                frames = [[*f, x] for f in frames for x in forms][:64]
+                frame.append(forms)
             else:
                 own.append(w)
         if len(own) > 1 and (best := min(((e, x) for x in own if len(x) > 5 and x not in self.own_words for e, _ in self.frame_trie.near(x, 1)), default=None)):
@@ -248,15 +248,18 @@ class Lexicon:
                 return self.look_up([target[0] if t.rstrip(".") == best[1] else t for t in raw], who)
         if len(own) > 1 and "".join(own) in self.own_words:
             own = ["".join(own)]
-        if len(own) != 1 or not frames:
+        if len(own) != 1:
             return None
-        # The nearest own words decide, so a wider automaton is run only where the narrower one met nothing.
-        near = [(0, own[0])] if own[0] in self.own_words else []
-        for most in range(1, allowed(len(own[0])) + 1):
-            near = near or self.trie.near(own[0], most)
-        least = near[0][0] if near else None
-        hits = {hit for e, w in near if e == least for f in frames if (hit := self.pick(self.by_name.get((w, tuple(f)), ()), who))}
-        return hits.pop() if len(hits) == 1 else None
+        # The nearest own words that stand in such a frame decide, so a wider automaton is run only where the narrower one met none.
+        for most in range(allowed(len(own[0])) + 1):
+            near = [(0, own[0])] if own[0] in self.own_words else []
+            if most:
+                near = [(e, w) for e, w in self.trie.near(own[0], most) if e == most]
+            fit = [entries for e, w in near for f, entries in self.by_name[w].items() if len(f) == len(frame) and all(map(list.__contains__, frame, f))]
+            if fit:
+                hits = {hit for entries in fit if (hit := self.pick(entries, who))}
+                return hits.pop() if len(hits) == 1 else None
+        return None
 
     @staticmethod
     def pick(entries: set | tuple, who: str | None) -> str | None:

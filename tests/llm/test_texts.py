@@ -333,3 +333,21 @@ def test_pii_query(spark):
     out = {r["doc_id"]: r["t"] for r in df.select("doc_id", pii.redacted("text").alias("t")).collect()}
     assert out[1] == "Call [PHONE_1]." and out[2] is None and out[3] == ""
     assert df.select(pii.surrogates("text").alias("t")).where("t like '%7946 0961%'").count() == 0
+
+
+def test_frames_without_a_cap():
+    """Eight abbreviated words with three readings each, 6561 combinations, of which the last one is listed."""
+    words = [f"{c}{c}{c}{x}" for c in "abcdefgh" for x in "xyz"]
+    fill = [(f"F{i}{j}", [f"{w} {v} {chr(97 + j)}ofill{i}"], None) for i, w in enumerate(words) for j, v in enumerate(words) if w != v]
+    lex = canonical.Lexicon([*fill, ("T", ["tarnol " + " ".join(w for w in words if w[-1] == "z")], None)])
+    assert set(words) <= lex.frames
+    assert lex.match("tarnol " + " ".join(f"{c * 3}." for c in "abcdefgh")) == "T"
+
+
+def test_own_words_are_ranked_after_the_frame():
+    words = [f"word{chr(97 + i)}" for i in range(24)]
+    fill = [(f"F{i}{j}", [f"{w} {v} filler"], None) for i, w in enumerate(words) for j, v in enumerate(words) if w != v]
+    lex = canonical.Lexicon([*fill, ("A", ["tarnol worda"], None), ("B", ["tarnil wordb"], None)])
+    assert lex.match("tarnol worda") == "A"
+    assert lex.match("tarnel wordb") == "B"
+    assert lex.match("tarnol wordb") == "B"
