@@ -12,7 +12,8 @@ is gathered in one pass of partial counts.
   stop is none. Thai has no terminator: white space between two Thai characters divides.
 
 Only evidence above a share of all words is kept, so the tables sent to the tasks are bounded however large the corpus
-(at most 1/ABBREVIATION_SHARE and 1/COMMON_SHARE entries). The fixed lists below serve where neither document nor corpus knows a word.
+(at most 1/ABBREVIATION_SHARE and 1/COMMON_SHARE entries). The fixed lists below go before all evidence: their words stand before capitals
+and digits ('no. 3', 'Dr. X'), where no occurrence is unambiguous, so the evidence would speak against them.
 
 Defined results: null and blank texts give no unit. Spans have no outer white space and cover all else. Texts without any
 terminator are one unit per paragraph; a blank line always ends a unit. Long texts are read whole; a stop inside brackets
