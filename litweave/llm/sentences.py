@@ -11,8 +11,8 @@ is gathered in one pass of partial counts.
 - Scripts have their own terminators: the ideographic stop, danda, the Arabic question mark; where a text has dandas a full
   stop is none. Thai has no terminator: white space between two Thai characters divides.
 
-Only evidence above a share of all words is kept, so the tables sent to the tasks are bounded however large the corpus
-(at most 1/ABBREVIATION_SHARE and 1/COMMON_SHARE entries). The fixed lists below go before all evidence: their words stand before capitals
+Corpus evidence counts from LEAST_COUNT occurrences on, however large the corpus, so a document is cut the same in any; what is sent to the tasks
+grows with the vocabulary, not the texts. The fixed lists below go before all evidence: their words stand before capitals
 and digits ('no. 3', 'Dr. X'), where no occurrence is unambiguous, so the evidence would speak against them.
 
 Defined results: null and blank texts give no unit. Spans have no outer white space and cover all else. Texts without any
@@ -34,8 +34,6 @@ from pyspark.sql import functions as F
 
 from litweave.session import cut
 
-ABBREVIATION_SHARE = 1e-5
-COMMON_SHARE = 1e-5
 LEAST_COUNT = 3
 BRACKET_CHARS = 400
 # Abbreviations that a sentence does not end with, and those it may end with, by general usage.
@@ -122,7 +120,7 @@ def evidence_rows(texts: list[str | None]) -> pd.DataFrame:
 
 
 def corpus_evidence(docs: DataFrame, text: str) -> Evidence:
-    """Evidence of all documents, of words above a share of all words."""
+    """Evidence of all documents, of words that occur LEAST_COUNT times."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -131,10 +129,9 @@ def corpus_evidence(docs: DataFrame, text: str) -> Evidence:
     counts = docs.select(text).dropna().mapInPandas(each, "word string, nonfinal bigint, plain bigint, small bigint, names bigint")
     sums = counts.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("nonfinal", "plain", "small", "names")))
     sums = cut(sums)
-    words = sums.agg(F.coalesce(F.sum(F.col("plain") + F.col("nonfinal")), F.lit(0))).first()[0]
     kept = sums.where(
-        ((F.col("nonfinal") >= max(LEAST_COUNT, words * ABBREVIATION_SHARE)) & (F.col("nonfinal") >= F.col("plain")))
-        | ((F.col("small") >= max(LEAST_COUNT, words * COMMON_SHARE)) & (F.col("small") >= F.col("names")))
+        ((F.col("nonfinal") >= LEAST_COUNT) & (F.col("nonfinal") >= F.col("plain")))
+        | ((F.col("small") >= LEAST_COUNT) & (F.col("small") >= F.col("names")))
     )
     e = Evidence()
     for r in kept.toLocalIterator():
@@ -151,7 +148,7 @@ class Splitter:
     def is_abbreviation(self, low: str, doc: Evidence) -> bool:
         if low in NEVER_LAST or low in MAY_END:
             return True
-        if len(low) > 8 or not low[:1].isalpha():
+        if not low[:1].isalpha():
             return False
         for e in (doc, self.corpus):
             seen, plain = e.nonfinal[low], e.plain[low]

@@ -351,3 +351,11 @@ def test_own_words_are_ranked_after_the_frame():
     assert lex.match("tarnol worda") == "A"
     assert lex.match("tarnel wordb") == "B"
     assert lex.match("tarnol wordb") == "B"
+
+
+def test_corpus_evidence_does_not_fade_with_the_corpus(spark):
+    rare = [("It is in subbibliogr. and so on.",)] * 4
+    df = spark.createDataFrame([*rare, ("word " * 450_000,)], "text string")
+    corpus = sentences.corpus_evidence(df, "text")
+    assert corpus.nonfinal["subbibliogr"] == 4
+    assert sentences.Splitter(corpus).is_abbreviation("subbibliogr", sentences.Evidence())
