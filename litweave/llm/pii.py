@@ -283,6 +283,12 @@ class Surrogates:
     ONSETS = "b br d dr f fl g gr h j k kl l m n p pl r s st t tr v w z".split()
     VOWELS = "a e i o u ia ei au".split()
     CODAS = "l n r s m nd rt lk st".split()
+    # The same sounds in other scripts, and the letters that stand for letters; by the first word of the letters' Unicode names.
+    SOUNDS = {
+        "CYRILLIC": str.maketrans(dict(zip("abdefghijklmnoprstuvwz", "абдефгхийклмнопрстувшз"))),
+        "GREEK": str.maketrans(dict(zip("abdefghijklmnoprstuvwz", "αβδεφγχιξκλμνοπρστυθψζ"))),
+    }
+    LETTERS = {"CYRILLIC": ("аеиоу", "бвгдзклмнпрст"), "GREEK": ("αεηιο", "βγδζθκλμνπρτφ")}
 
     def __init__(self, key: str, text: str):
         self.key, self.text = key.encode(), text
@@ -292,14 +298,31 @@ class Surrogates:
     def draw(self, *what: object) -> int:
         return int.from_bytes(hmac.new(self.key, "\x1f".join(map(str, what)).encode(), hashlib.sha256).digest()[:12], "big")
 
-    def word(self, seed: int, ending: str) -> str:
+    @staticmethod
+    def script(text: str) -> str:
+        return next((unicodedata.name(c, "").partition(" ")[0] for c in text if c.isalpha()), "")
+
+    def accented(self, like: str, made: str) -> str:
+        """`made` with the marks of `like`, each on a letter of the same kind, if one is there."""
+        for c in unicodedata.normalize("NFC", like.casefold()):
+            plain, *marks = unicodedata.normalize("NFD", c)
+            if marks and plain.isalpha():
+                kind = plain in "aeiouаеиоуαεηιουω"
+                fits = [i for i, m in enumerate(made) if i and len(unicodedata.normalize("NFC", m + "".join(marks))) == 1 and (m in "aeiouаеиоуαεηιουω") == kind]
+                if fits:
+                    made = made[: fits[0]] + unicodedata.normalize("NFC", made[fits[0]] + "".join(marks)) + made[fits[0] + 1 :]
+        return made
+
+    def word(self, seed: int, ending: str, like: str = "") -> str:
+        """An invented name in the script of `like`, with its accents."""
         out = ""
         for _ in range(2):
             out += self.ONSETS[seed % len(self.ONSETS)]
             seed //= len(self.ONSETS)
             out += self.VOWELS[seed % len(self.VOWELS)]
             seed //= len(self.VOWELS)
-        return (out + self.CODAS[seed % len(self.CODAS)] + ending).capitalize()
+        out = (out + self.CODAS[seed % len(self.CODAS)] + ending).translate(self.SOUNDS.get(self.script(like), {}))
+        return self.accented(like, out).capitalize()
 
     def replace(self, kind: str, mention: str, title: str = "") -> str:
         entity = entity_of(kind, mention)
@@ -323,7 +346,7 @@ class Surrogates:
             if w.casefold() in particles and w.islower():
                 return w
             last = m.end() == len(mention) if "," not in mention else m.end() <= mention.index(",")
-            made = self.word(self.draw("name", w.casefold(), female and not last, turn), "er" if last else "a" if female else "o")
+            made = self.word(self.draw("name", w.casefold(), female and not last, turn), "er" if last else "a" if female else "o", w)
             return made[0] if len(w) == 1 else made.upper() if w.isupper() else made.lower() if w.islower() else made
 
         return re.sub(r"[^\W\d_]+", new, mention)
@@ -346,6 +369,13 @@ class Surrogates:
             seed, k = divmod(seed if seed > 1 << 20 else self.draw(kind, entity, turn, i), 936)
             if c.isdigit():
                 out.append(str(k % 10))
+            elif (letters := self.LETTERS.get(self.script(c))) or not c.isascii():
+                plain, *marks = unicodedata.normalize("NFD", c.lower())
+                vowels, others = letters or ("aeiou", "bdfgklmnprstvz")
+                pool = vowels if plain in vowels else others
+                fits = [x for x in pool if len(unicodedata.normalize("NFC", x + "".join(marks))) == 1] or pool
+                new = unicodedata.normalize("NFC", fits[k % len(fits)] + "".join(marks)) if len(fits) < len(pool) or marks else fits[k % len(fits)]
+                out.append(new.upper() if c.isupper() else new)
             elif kind == "id_number" or c.isupper():
                 out.append("ABCDEFGHJKLMNPQRSTUVWXYZ"[k % 24] if c.isupper() else "abcdefghjklmnpqrstuvwxyz"[k % 24])
             else:

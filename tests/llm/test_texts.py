@@ -359,3 +359,14 @@ def test_corpus_evidence_does_not_fade_with_the_corpus(spark):
     corpus = sentences.corpus_evidence(df, "text")
     assert corpus.nonfinal["subbibliogr"] == 4
     assert sentences.Splitter(corpus).is_abbreviation("subbibliogr", sentences.Evidence())
+
+
+def test_surrogates_keep_the_script():
+    made = pii.Surrogates("k", "")
+    for name, script in (("Анна Петрова", "CYRILLIC"), ("Νίκος Αλεξίου", "GREEK"), ("Anna Petrova", "LATIN")):
+        got = made.replace("person", name)
+        assert got != name and {made.script(c) for c in got if c.isalpha()} == {script}
+    assert {made.script(c) for c in made.replace("address", "Невский 12") if c.isalpha()} == {"CYRILLIC"}
+    for kind, name in (("person", "Zoë Muñoz"), ("address", "Łódźka 5")):
+        got = made.replace(kind, name)
+        assert got != name and not got.isascii()
