@@ -33,6 +33,18 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p3_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each value all entries within its distance, with the distance: what p3_found chooses among, model answers aside."""
+    proteins = canonical.protein_lexicon(table(spark, sf_dir, "uniprot_ref"))
+    terms = canonical.term_lexicon(table(spark, sf_dir, "go_ref"))
+    parts = []
+    for src, field, row_id, lexicon, who in (("uniprot_match", "original_name", "match_id", proteins, "species"), ("go_mapping", "name", "mapping_id", terms, None)):
+        organism = F.col(who) if who else F.lit(None).cast("string")
+        values = table(spark, sf_dir, src).select(F.col(row_id).alias("row_id"), F.col(field).alias("value"), organism.alias("organism"))
+        parts.append(canonical.mapped_all(values, lexicon).select(F.lit(src).alias("src"), F.lit(field).alias("field"), "row_id", "ref_id", "distance"))
+    return parts[0].unionByName(parts[1])
+
+
 def p3_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values without an entry, per field: how many."""
     m = p3_found(spark, sf_dir)
@@ -106,5 +118,5 @@ def p9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", pii.surrogates("text").alias("text"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p7_ids, p8_found, p8_matches, p8_leaked, p8_clean, p9_found, p9_redacted, p9_surrogates)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_candidates, p3_unmatched, p4_found, p7_ids, p8_found, p8_matches, p8_leaked, p8_clean, p9_found, p9_redacted, p9_surrogates)}
 ORACLE: dict[str, str] = {}

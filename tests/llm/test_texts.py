@@ -268,6 +268,61 @@ def test_trie_brute():
             assert trie.near(q, k) == sorted((d, w) for w in words if (d := distance(q, w)) <= k)
 
 
+def test_trie_swaps_brute():
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abc") for _ in range(r.randint(1, 9)))
+    words = {word() for _ in range(200)}
+    trie = canonical.Trie(words)
+
+    def distance(a, b):
+        d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (x != y))
+                if i and j and x == b[j - 1] and y == a[i - 1]:
+                    d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+        return d[len(a) - 1, len(b) - 1]
+
+    for _ in range(80):
+        q = word()
+        for k in (0, 1, 2):
+            assert trie.near(q, k, swaps=True) == sorted((d, w) for w in words if (d := distance(q, w)) <= k)
+
+
+CITIES = "San Francisco|Philadelphia|Barcelona|New York|San Diego|Los Angeles|Saint Petersburg|New Orleans|Newark|Boston|Baltimore|Chicago|Houston|Phoenix|San Antonio|Dallas|Indianapolis|Seattle|Denver|Washington|Nashville|Portland|Las Vegas|Memphis|Louisville|Milwaukee|Sacramento|Colorado Springs|Virginia Beach|Minneapolis|Arlington|Bakersfield|Corpus Christi|Cincinnati|Pittsburgh".split("|")
+TITLES = [f"{a}{b}" for a in ("", "Senior ", "Junior ", "Lead ") for b in ("Software Engineer", "Data Engineer", "Data Scientist", "Registered Nurse", "Nurse Practitioner", "Project Manager", "Product Manager", "Sales Manager", "Accountant", "Electrician", "Mechanical Engineer", "Teacher", "Business Analyst", "Financial Analyst", "Pharmacist", "Dental Assistant", "Medical Assistant", "Heat Shock Protein", "Process Engineer", "Systems Engineer", "Test Engineer", "Field Engineer", "Sound Engineer", "Security Engineer")]
+
+
+@pytest.mark.parametrize("names", [CITIES, TITLES])
+def test_canonical_on_ordinary_lists(names):
+    lex = canonical.Lexicon([(n, [n], None) for n in names])
+    assert all(lex.match(n) == n and lex.match(f" {n.upper()} ") == n for n in names)
+    r = random.Random(5)
+
+    def mistyped(name):
+        at = r.choice([i for i in range(1, len(name)) if name[i].isalpha() and name[i - 1].isalpha()])
+        kind = r.randrange(4)
+        letter = r.choice("abcdefghijklmnopqrstuvwxyz")
+        return name[: at - 1] + name[at] + name[at - 1] + name[at + 1 :] if kind == 3 else name[:at] + ("" if kind == 2 else letter) + name[at + (kind > 0) :]
+
+    asked = [(n, mistyped(n)) for n in names for _ in range(10)]
+    assert sum(lex.match(v) == n for n, v in asked) / len(asked) >= 0.9
+    assert lex.match("Completely Elsewhere") == canonical.UNMATCHED
+
+
+def test_canonical_verbatim_and_all_candidates(spark):
+    lex = canonical.Lexicon([(n, [n], None) for n in ("Heat Shock Protein", "Unknown", "the Gene", "Karlstadt", "Karlstadd", "p53 binding factor", "HSP70")])
+    for n in ("Heat Shock Protein", "Unknown", "the Gene", "HSP70", "hsp 70"):
+        assert lex.match(n) != canonical.UNMATCHED, n
+    assert lex.candidates("Karlstadt") == {"Karlstadt": 0}
+    assert lex.candidates("Karlstads") == {"Karlstadt": 1, "Karlstadd": 1} and lex.match("Karlstads") == canonical.UNMATCHED
+    for n in ("p63 binding factor", "HSP71", "HSP7"):
+        assert lex.match(n) == canonical.UNMATCHED, n
+    df = spark.createDataFrame([(1, "Karlstads", None), (2, None, None), (3, "nowhere", None)], "row_id bigint, value string, organism string")
+    assert sorted(map(tuple, canonical.mapped_all(df, lex).collect())) == [(1, "Karlstadd", 1), (1, "Karlstadt", 1)]
+    assert canonical.mapped_all(df.limit(0), lex).count() == 0
+
+
 def test_canonical_query(spark, proteins):
     rows = [(1, "MAKK4", "marsh cat"), (2, None, "marsh cat"), (3, "  ", None), (4, "x " * 20000, "marsh cat"), (5, "MAKK4", "marsh cat")]
     df = spark.createDataFrame(rows, "row_id bigint, value string, organism string")
