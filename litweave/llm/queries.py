@@ -88,12 +88,17 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encoded(table(spark, sf_dir, "documents"))
 
 
-def p8_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p8_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every longest match with its places."""
     return contamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p8_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.longest(p8_locations(spark, sf_dir))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p8_matches(spark, sf_dir).select("doc_id", "item_id")
+    return p8_locations(spark, sf_dir).select("doc_id", "item_id").distinct()
 
 
 def p8_leaked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,5 +123,5 @@ def p9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", pii.surrogates("text").alias("text"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_candidates, p3_unmatched, p4_found, p7_ids, p8_found, p8_matches, p8_leaked, p8_clean, p9_found, p9_redacted, p9_surrogates)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_candidates, p3_unmatched, p4_found, p7_ids, p8_found, p8_locations, p8_matches, p8_leaked, p8_clean, p9_found, p9_redacted, p9_surrogates)}
 ORACLE: dict[str, str] = {}

@@ -425,3 +425,58 @@ def test_surrogates_keep_the_script():
     for kind, name in (("person", "Zoë Muñoz"), ("address", "Łódźka 5")):
         got = made.replace(kind, name)
         assert got != name and not got.isascii()
+
+
+def test_words_broken_over_many_lines_and_long_tags():
+    broken = "This is im-\nmu-\nno-\nsup-\npres-\nsion " + "-\n".join("word" for _ in range(60)) + " here"
+    known = {w: 1 for w in ["immunosuppression", "word", "this"]}
+    assert contamination.words(broken, known) == ["this", "is", "immunosuppression", *["word"] * 60, "here"]
+    assert contamination.words("ab-\ncd-\nef") == ["abcdef"]
+    items = contamination.Items([1], [ITEM])
+    tagged = ITEM.replace(" ", f' <a href="{"x" * 5000}">', 3).replace("towns", f'to<b class="{"y" * 3000}">wns</b>')
+    assert contamination.shard_matches([5], [tagged], items)["words"].tolist() == [18]
+
+
+def test_suffix_array_is_sorted_to_full_depth():
+    r = __import__("numpy").random.default_rng(2)
+    for least in (1, 3):
+        flat = __import__("numpy").concatenate([r.integers(0, 4, 400), [1, 2] * 60, [0], [1, 2] * 60, [0]])
+        starts = contamination.whole_starts(flat, least)
+        array = contamination.suffix_array(flat, starts, least)
+        assert sorted(array) == sorted(starts)
+
+        def known(i, flat=flat):
+            end = next((k for k in range(i, len(flat)) if flat[k] == 0), len(flat))
+            return flat[i:end].tolist()
+
+        assert all(known(a) <= known(b) for a, b in zip(array, array[1:]))
+
+
+def test_every_longest_match_is_located_and_tails_are_not():
+    r = random.Random(9)
+    word = [f"w{i}" for i in range(6)]
+    texts = [" ".join(r.choice(word) for _ in range(40)) for _ in range(12)]
+    asked = [" ".join(r.choice(word) for _ in range(20)) for _ in range(6)]
+    items = contamination.Items(list(range(6)), asked, least=3)
+    got = sorted(map(tuple, contamination.shard_matches(list(range(12)), texts, items).values.tolist()))
+    want = []
+    for d, t in enumerate(texts):
+        for i, u in enumerate(asked):
+            a, b = t.split(), u.split()
+            for x in range(len(a)):
+                for y in range(len(b)):
+                    n = 0
+                    while x + n < len(a) and y + n < len(b) and a[x + n] == b[y + n]:
+                        n += 1
+                    if n >= 3 and not (x and y and a[x - 1] == b[y - 1]):
+                        want.append((d, i, x, y, n))
+    assert got == sorted(want) and want
+
+
+def test_copies_times_items_make_one_pair_each():
+    """400 documents and 400 items share 40 words: one match each pair, though the passage has 29 places to begin."""
+    passage = " ".join(f"w{i}" for i in range(40))
+    items = contamination.Items(list(range(400)), [f"item{i} {passage}" for i in range(400)])
+    parts = list(contamination.shard_parts(list(range(400)), [f"doc {passage} end"] * 400, items))
+    assert sum(map(len, parts)) == 160_000 and {int(w) for p in parts for w in p["words"].unique()} == {40}
+    assert max(map(len, parts)) <= 2 * contamination.PAIRS
