@@ -2,22 +2,24 @@
 
 A stop is ambiguous where the word before it may be an abbreviation, an initial or an ordinal, and the word after it may be
 a name. Both are decided by unambiguous occurrences: first in the same document, then in the corpus, whose evidence
-is gathered in one pass of partial counts.
+is gathered in one pass of partial counts, and by fixed lists only where both are silent or tied.
 
 - A word is an abbreviation if it stands with a stop where no sentence can end (before a small letter, a comma, inside
-  brackets) and hardly ever without the stop.
+  brackets) and hardly ever without the stop. Of a listed abbreviation a use without a stop tells something only if it
+  is a word of its own as well (HOMOGRAPHS: 'a fig tree'); 'Dr Smith' and 'A vs B' are the same abbreviation spelt otherwise.
+  Before a digit ('no. 3') the list stands.
 - A capitalised word after an abbreviation begins a sentence if it occurs in small letters elsewhere; if it occurs
   capitalised in mid-sentence only, it is a name and the sentence goes on.
 - Scripts have their own terminators: the ideographic stop, danda, the Arabic question mark; where a text has dandas a full
   stop is none. Thai has no terminator: white space between two Thai characters divides.
 
-Corpus evidence counts from LEAST_COUNT occurrences on, however large the corpus, so a document is cut the same in any; what is sent to the tasks
-grows with the vocabulary, not the texts. The fixed lists below go before all evidence: their words stand before capitals
-and digits ('no. 3', 'Dr. X'), where no occurrence is unambiguous, so the evidence would speak against them.
+Corpus evidence counts from LEAST_COUNT occurrences on, however large the corpus, so a document is cut the same in any. It is kept as
+a table. The HOT_WORDS most frequent of its words are sent to the tasks, a bounded number; the others, none of which can
+have more than a HOT_WORDS-th of all occurrences, are joined to the documents that ask for them.
 
 Defined results: null and blank texts give no unit. Spans have no outer white space and cover all else. Texts without any
 terminator are one unit per paragraph; a blank line always ends a unit. Long texts are read whole; a stop inside brackets
-that are closed within BRACKET_CHARS of the same paragraph divides nothing.
+that are closed in the same paragraph divides nothing, however far they reach.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -35,7 +37,8 @@ from pyspark.sql import functions as F
 from litweave.session import cut
 
 LEAST_COUNT = 3
-BRACKET_CHARS = 400
+HOT_WORDS = 100_000
+COUNTS = ("nonfinal", "plain", "used", "small", "names")
 # Abbreviations that a sentence does not end with, and those it may end with, by general usage.
 NEVER_LAST = set(
     "dr prof mr mrs ms mx st sr jr rev hon gen col sgt capt lt fig figs eq eqs ref refs no nos vol vols suppl tab tabs sec ch "
@@ -43,6 +46,9 @@ NEVER_LAST = set(
     "env p.ex p.ej pag núm aprox dra sra fig.s nº art cap av mme mlle m ex ej usf.d inkl zzgl tel mt ft maj gov pres".split()
 )
 MAY_END = set("etc corp inc ltd co llc a.m p.m am pm u.s u.k usw s.d s.e.m sd ave blvd rd ph.d m.d b.sc m.sc min max jan feb mar apr jun jul aug sep sept oct nov dec".split())
+# Those of them that are words of their own too, in one of the languages covered, so that a use without a stop tells something.
+# The others are the same abbreviation with a stop and without one.
+HOMOGRAPHS = set("fig no nos al art gen sec ed tab ref rev hon col ex exp cap pres bd am im mar sept max min inc corp app mt st ch".split())
 # Words before an ordinal number in German.
 ORDINAL_BEFORE = set("am im vom zum beim zur der die das dem den des ab bis seit nach vor und ein einem einen einer jeder jedem jeden ihr ihrem sein seinem".split())
 CLOSERS = "\"'”’“»›)]}」』》〉】）］｣"
@@ -76,6 +82,7 @@ class Evidence:
 
     nonfinal: Counter = field(default_factory=Counter)  # with a stop where no sentence ends
     plain: Counter = field(default_factory=Counter)  # without a stop
+    used: Counter = field(default_factory=Counter)  # the same in small letters before a word in small letters
     small: Counter = field(default_factory=Counter)  # in small letters
     names: Counter = field(default_factory=Counter)  # capitalised in mid-sentence
 
@@ -99,6 +106,8 @@ def gather(text: str) -> Evidence:
                 e.nonfinal[low] += 1
         else:
             e.plain[low] += 1
+            if low in HOMOGRAPHS and word == low and after[:1] == " " and after[1:].islower():
+                e.used[low] += 1
         if word[:1].islower():
             e.small[low] += 1
         elif word[:1].isupper() and before_small and gap == " ":
@@ -109,7 +118,7 @@ def gather(text: str) -> Evidence:
 
 
 def evidence_rows(texts: list[str | None]) -> pd.DataFrame:
-    total: dict[str, Counter] = {k: Counter() for k in ("nonfinal", "plain", "small", "names")}
+    total: dict[str, Counter] = {k: Counter() for k in COUNTS}
     for t in texts:
         if t:
             e = gather(t)
@@ -119,26 +128,52 @@ def evidence_rows(texts: list[str | None]) -> pd.DataFrame:
     return pd.DataFrame([(w, *c) for w, c in rows.items()], columns=["word", *total])
 
 
-def corpus_evidence(docs: DataFrame, text: str) -> Evidence:
+@dataclass
+class Corpus(Evidence):
+    """Evidence of a corpus: that of its most frequent words at hand, that of the others as a table, if there are others."""
+
+    others: DataFrame | None = None
+
+
+def filled(evidence: Evidence, rows: Iterable) -> Evidence:
+    for r in rows:
+        for k in COUNTS:
+            if r[k]:
+                getattr(evidence, k)[r["word"]] = r[k]
+    return evidence
+
+
+def corpus_evidence(docs: DataFrame, text: str, hot_words: int = HOT_WORDS) -> Corpus:
     """Evidence of all documents, of words that occur LEAST_COUNT times."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield evidence_rows(b.iloc[:, 0].tolist())
 
-    counts = docs.select(text).dropna().mapInPandas(each, "word string, nonfinal bigint, plain bigint, small bigint, names bigint")
-    sums = counts.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("nonfinal", "plain", "small", "names")))
-    sums = cut(sums)
-    kept = sums.where(
+    counts = docs.select(text).dropna().mapInPandas(each, ", ".join(["word string", *(f"{c} bigint" for c in COUNTS)]))
+    sums = counts.groupBy("word").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    kept = cut(sums.where(
         ((F.col("nonfinal") >= LEAST_COUNT) & (F.col("nonfinal") >= F.col("plain")))
+        | ((F.col("used") >= LEAST_COUNT) & (F.col("used") > F.col("nonfinal")))
         | ((F.col("small") >= LEAST_COUNT) & (F.col("small") >= F.col("names")))
-    )
-    e = Evidence()
-    for r in kept.toLocalIterator():
-        for k in ("nonfinal", "plain", "small", "names"):
-            if r[k]:
-                getattr(e, k)[r["word"]] = r[k]
-    return e
+    ))
+    often = F.col("nonfinal") + F.col("plain")
+    hot = kept.withColumn("often", often).orderBy(F.desc("often"), "word").limit(hot_words + 1).collect()
+    corpus = filled(Corpus(), hot[:hot_words])
+    if len(hot) > hot_words:
+        last = hot[hot_words]
+        corpus.others = kept.where((often < last["often"]) | (often == last["often"]) & (F.col("word") >= last["word"]))
+    return corpus
+
+
+def asked(text: str) -> set[str]:
+    """The words around the stops of a text, whose evidence the corpus may be asked for."""
+    out = set()
+    for m in STOP.finditer(text):
+        out.add(Splitter.word_before(text, 0, m.start())[0].lower())
+        if n := NEXT_WORD.search(text, m.end()):
+            out.add(n.group().lower())
+    return out
 
 
 class Splitter:
@@ -147,7 +182,7 @@ class Splitter:
 
     def is_abbreviation(self, low: str, doc: Evidence) -> bool:
         if low in NEVER_LAST or low in MAY_END:
-            return True
+            return not self.ordinary(low, doc)
         if not low[:1].isalpha():
             return False
         for e in (doc, self.corpus):
@@ -159,6 +194,15 @@ class Splitter:
                     return False
         return False
 
+    def ordinary(self, low: str, doc: Evidence) -> bool:
+        """Whether a listed abbreviation that is a word of its own is used as that word here: the document decides, then the corpus, then the list."""
+        if low in HOMOGRAPHS:
+            for e in (doc, self.corpus):
+                seen, used = e.nonfinal[low], e.used[low]
+                if used != seen:
+                    return used > seen
+        return False
+
     def begins(self, word: str, doc: Evidence) -> bool:
         """Whether a capitalised word after an abbreviation begins a sentence."""
         low = word.lower()
@@ -218,8 +262,7 @@ class Splitter:
                 stack.append(i)
             elif stack and c == BRACKETS[text[stack[-1]]]:
                 a = stack.pop()
-                if i - a <= BRACKET_CHARS:
-                    spans.append((a, i - 1 if i and text[i - 1] in ".!?。！？" else i))
+                spans.append((a, i - 1 if i and text[i - 1] in ".!?。！？" else i))
         return spans
 
     def boundary(self, text: str, start: int, m: re.Match, end: int, doc: Evidence, danda: bool) -> int | None:
@@ -304,11 +347,22 @@ class Splitter:
         w = m.group().split("-")[0] if m else ""
         return len(w) > 1 and w[0].islower() and any(c.isdigit() or c.isupper() for c in w[1:]) and not text.startswith("://", m.end())
 
+    @staticmethod
+    def word_before(text: str, start: int, end: int) -> tuple[str, str]:
+        """The word that ends here, and some of what stands before it."""
+        size = 60
+        while True:
+            head = text[max(start, end - size) : end]
+            w = WORD_BEFORE.search(head)
+            if w is None:
+                return "", head
+            if w.start() or end - size <= start or "." in head:
+                return w.group(), head[: w.start()]
+            size *= 4  # a word longer than the part looked at
+
     def full_stop(self, text: str, start: int, m: re.Match, i: int, rest: int, end: int, doc: Evidence, danda: bool) -> bool:
         spaced, c = rest > i, text[rest]
-        head = text[max(start, m.start() - 60) : m.start()]
-        w = WORD_BEFORE.search(head)
-        word = w.group() if w else ""
+        word, head = self.word_before(text, start, m.start())
         low = word.lower()
         if danda and "\N{DEVANAGARI SIGN INVERTED CANDRABINDU}" <= text[m.start() - 1] <= "\N{DEVANAGARI LETTER BBA}":
             return False
@@ -316,8 +370,8 @@ class Splitter:
             # Without a space: a small-letter word or a number before, a capitalised word behind, and no address around.
             n = NEXT_WORD.match(text, rest, end)
             nxt = n.group() if n else ""
-            around = text[max(start, m.start() - 40) : m.start()].rsplit(None, 1)
-            if around and ("@" in around[-1] or "//" in around[-1] or around[-1].startswith("www.")):
+            around = text[max(start - 1, *(text.rfind(c, start, m.start()) for c in " \t\n\r\xa0")) + 1 : m.start()]
+            if "@" in around or "//" in around or around.startswith("www."):
                 return False
             caseless = c.isalpha() and not c.islower() and not c.isupper()
             if caseless:
@@ -333,13 +387,13 @@ class Splitter:
             return False
         if not word:
             return True
-        n = NEXT_WORD.search(text, rest, min(end, rest + 60))
+        n = NEXT_WORD.search(text, rest, end)
         nxt = n.group() if n else ""
         if text[m.start() - 1 : m.start()] != word[-1:]:
             return True
         if word.isdigit():
-            before = head[: w.start()].split()
-            if before and before[-1].lower() in ORDINAL_BEFORE and head[w.start() - 1 : w.start()].isspace() and len(word) <= 2:
+            before = head.split()
+            if before and before[-1].lower() in ORDINAL_BEFORE and head[-1:].isspace() and len(word) <= 2:
                 return False
             return True
         single = len(word) == 1 and word.isalpha()
@@ -349,8 +403,8 @@ class Splitter:
             return len([x for x in word if x.isalpha()]) > 1 if word[0] < "ऀ" or word[0] > "฀" else not (len(word) <= 4)
         if i > m.end() and not single:
             return True  # a closing mark stands between
-        before = head[: w.start()].rstrip()
-        if single and (before[-1:].isdigit() or head[w.start() - 1 : w.start()] in tuple("°µ%/")):
+        before = head.rstrip()
+        if single and (before[-1:].isdigit() or head[-1:] in tuple("°µ%/")):
             return True  # a unit
         if single and word.islower():
             return False
@@ -358,6 +412,9 @@ class Splitter:
             return False  # initials
         if single or chained and low not in MAY_END and low not in NEVER_LAST:
             return self.begins(nxt, doc) and not before.endswith(".")
+        before_digit = c.isdigit() or c in "([" and text[rest + 1 : rest + 2].isdigit()
+        if low in HOMOGRAPHS and not before_digit and not (low == "al" and before.endswith("et")) and self.ordinary(low, doc):
+            return True
         if low in NEVER_LAST and not (low in ("no", "al", "ex", "s", "p", "m") and self.plain_use(low, text, m.start(), nxt, c)):
             return low == "al" and c.isupper() and self.begins(nxt, doc)
         if low in MAY_END:
@@ -376,16 +433,44 @@ class Splitter:
 
 def sentence_units(docs: DataFrame, keys: list[str], text: str, corpus: Evidence) -> DataFrame:
     """(keys, sent_no, start_char, end_char) of every text; keys are bigint columns."""
-    schema = ", ".join([*(f"{k} bigint" for k in keys), "sent_no int, start_char int, end_char int"])
+    key_schema = [f"{k} bigint" for k in keys]
+    schema = ", ".join([*key_schema, "sent_no int, start_char int, end_char int"])
+    hot = Evidence(*(getattr(corpus, k) for k in COUNTS))
+    others = getattr(corpus, "others", None)
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        splitter = Splitter(corpus)
+        splitter = Splitter(hot)
         for b in batches:
             rows = []
-            for *own, t in zip(*(b[k] for k in keys), b[text]):
-                rows += [(*own, n, i, j) for n, (i, j) in enumerate(splitter.spans(t))]
+            for *own, t, met in zip(*(b[k] for k in keys), b[text], b["_met"]):
+                at_hand = splitter
+                if met is not None and len(met):
+                    both = Evidence(*(Met(getattr(hot, k), {r["word"]: r[k] for r in met}) for k in COUNTS))
+                    at_hand = Splitter(both)
+                rows += [(*own, n, i, j) for n, (i, j) in enumerate(at_hand.spans(t))]
             yield pd.DataFrame(rows, columns=[*keys, "sent_no", "start_char", "end_char"])
 
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(*own, w) for *own, t in zip(*(b[k] for k in keys), b[text]) for w in asked(t) if not any(w in getattr(hot, k) for k in COUNTS)]
+            yield pd.DataFrame(rows, columns=[*keys, "word"])
+
     typed = docs.select(*(F.col(k).cast("bigint").alias(k) for k in keys), F.col(text)).where(F.col(text).isNotNull())
-    return typed.mapInPandas(each, schema)
+    if others is None:
+        return typed.withColumn("_met", F.lit(None).cast("array<struct<word:string>>")).mapInPandas(each, schema)
+    words = typed.mapInPandas(ask, ", ".join([*key_schema, "word string"])).distinct()
+    met = words.join(others, "word").groupBy(*keys).agg(F.collect_list(F.struct("word", *COUNTS)).alias("_met"))
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
+    joined = typed.alias("t").join(met.alias("m"), same, "left").select("t.*", "_met")
+    return joined.mapInPandas(each, schema)
+
+
+class Met:
+    """Counts of words joined to a document, before those at hand."""
+
+    def __init__(self, hot: Counter, own: dict[str, int]):
+        self.hot, self.own = hot, own
 
+    def __getitem__(self, word: str) -> int:
+        got = self.own.get(word)
+        return self.hot[word] if got is None else got

@@ -480,3 +480,48 @@ def test_copies_times_items_make_one_pair_each():
     parts = list(contamination.shard_parts(list(range(400)), [f"doc {passage} end"] * 400, items))
     assert sum(map(len, parts)) == 160_000 and {int(w) for p in parts for w in p["words"].unique()} == {40}
     assert max(map(len, parts)) <= 2 * contamination.PAIRS
+
+
+def test_the_document_decides_before_the_list():
+    text = "She ate a fig. Then she ate another fig. In the yard a fig tree grew."
+    assert units(text) == ["She ate a fig.", "Then she ate another fig.", "In the yard a fig tree grew."]
+    assert units("It is shown in Fig. A and in the fig. Nine rows.") == ["It is shown in Fig. A and in the fig. Nine rows."]
+    assert units("The fig tree is shown in fig. 3 of the book.") == ["The fig tree is shown in fig. 3 of the book."]
+    assert units("Dr Smith came. Then Dr. Smith and Dr. Jones left.") == ["Dr Smith came.", "Then Dr. Smith and Dr. Jones left."]
+    corpus = sentences.Corpus()
+    corpus.used["fig"] = 5
+    assert units("She ate a fig. Then she left.", corpus) == ["She ate a fig.", "Then she left."]
+    corpus.nonfinal["fig"] = 50
+    assert len(units("She ate a fig. Then she left.", corpus)) == 1
+
+
+@pytest.mark.parametrize("n", [1, 40, 200])
+def test_brackets_of_any_length(n):
+    inside = " ".join("One more sentence." for _ in range(n))
+    assert units(f"It was seen ({inside} End here.) in cells. Then more.") == [f"It was seen ({inside} End here.) in cells.", "Then more."]
+
+
+def test_words_longer_than_the_window():
+    word = "a" * 500
+    assert units(f"He met {word}. Then more.") == [f"He met {word}.", "Then more."]
+    assert units(f"So {word}., as {word}., and {word}. Then more.") == [f"So {word}., as {word}., and {word}. Then more."]
+
+
+def test_corpus_evidence_joined_and_at_hand_agree(spark):
+    texts = ["It is in bibliogr. and so on."] * 4 + ["See Zelnik. and more, or zelnik works."] * 3 + ["He read the bibliogr. Zelnik was there. The qualif. Zelnik. Then came the fig. Then more."] * 2 + ["we see a fig tree here"] * 3
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, texts[-4])], "row_id bigint, text string")
+    want = None
+    for hot in (1000, 2, 0):
+        corpus = sentences.corpus_evidence(df, "text", hot_words=hot)
+        assert (corpus.others is None) == (hot == 1000)
+        got = sorted(map(str, sentences.sentence_units(df, ["row_id"], "text", corpus).collect()))
+        want = want or got
+        assert got == want
+
+
+def test_units_do_not_change_with_the_size_of_the_corpus(spark):
+    own = ["It is in bibliogr. and so on.", "He read the bibliogr. Zelnik was there."] * 4
+    small = spark.createDataFrame([(i, t) for i, t in enumerate(own)], "row_id bigint, text string")
+    large = spark.createDataFrame([(i, t) for i, t in enumerate(own + ["Other words fill this text, many of them."] * 90)], "row_id bigint, text string")
+    units_of = lambda df: {tuple(r) for r in sentences.sentence_units(df, ["row_id"], "text", sentences.corpus_evidence(df, "text")).collect() if r["row_id"] < 8}
+    assert units_of(small) == units_of(large) and len(units_of(small)) == 8
