@@ -1,13 +1,18 @@
 """Personal information in free text: find it, and put placeholders or surrogates in its place.
 
-Email addresses, phone numbers, identity numbers and street addresses are found by their shapes and labels, persons by
-what introduces them (titles, roles, set phrases) and by the grammar of names; a full name found once in a document is found
-wherever it stands in it. Longer and surer kinds go first and no two spans overlap.
+Email addresses, phone numbers, identity numbers and street addresses are found by their shapes and labels. Persons are found by
+what introduces them (titles, roles, set phrases, labels) and the grammar of names, by a common given name before a
+capitalised surname, in Chinese by a label and a common surname, and by evidence of the document: a full name found once is found wherever
+it stands in it. Longer and surer kinds go first and no two spans overlap.
 
-`redacted` puts a typed placeholder in place of each, numbered per document so that one person keeps one number.
+`redacted` puts a typed placeholder in place of each, numbered per document so that one person keeps one number: a surname or
+an initial with a surname is the one full name of the document that it fits, if there is just one.
 `surrogates` generates keyed replacements instead: the same entity gets the same surrogate, of the same kind, gender, script
-and format (capitals, initials, order, digit groups); a surrogate that another entity of the document has, or that stands in
-its text, is drawn anew, so that distinct entities stay distinct.
+and format (capitals, initials, order, digit groups). The gender is that of the title, else of the given name, else what its
+ending tells. Latin, Cyrillic and Greek names are made of syllables; in every other script each letter is replaced by another of the same
+script and sort, and signs that belong to letters stay. A surrogate that another entity of the document has, or that stands in
+its text, is drawn anew, so that distinct entities stay distinct. The key is a secret of the caller, given or in the session's
+KEY_SETTING; where there is none, one is drawn for the call, so that no surrogate can be told from published code.
 
 Defined results: null and empty texts have no mention and are returned as they are. Texts are read whole. Offsets count code
 points. Repeated rows are treated each.
@@ -18,17 +23,19 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import secrets
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from re import _parser as sre
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ("person", "email", "phone", "id_number", "address")
+KEY_SETTING = "spark.litweave.surrogate.key"
 SPANS = "doc_id bigint, kind string, start_char int, end_char int"
-DEFAULT_KEY = "litweave"
 
 # Words of addresses, titles, roles and labels in the languages covered.
 STREETS = "Street|St|Road|Rd|Lane|Ln|Close|Avenue|Ave|Drive|Dr|Boulevard|Blvd|Court|Ct|Way|Place|Pl|Square|Sq|Terrace|Crescent|Gardens|Grove|Row|Hill|Parkway|Pkwy|Highway|Circle"
@@ -47,6 +54,8 @@ ID_LABELS = (
     "DNI|NIE|pasaporte|número de la seguridad social|carné de conducir|身份证号?码?|护照号?码?|身分証番号|旅券番号|パスポート番号|マイナンバー"
 )
 
+# Vowel signs and other marks belong to the letter before them.
+MARKS = "".join(chr(c) for c in range(0x300, 0x1100) if unicodedata.category(chr(c))[0] == "M")
 CAP = r"[^\W\d_a-zß-öø-ÿ](?:[’'])?[^\W\d_]+(?:[’'][^\W\d_]+)?"
 WORD = rf"(?:(?:[Ee]l|[Aa]l)-)?{CAP}(?:-{CAP})*"
 SP = r"[^\S\r\n]*(?:\r?\n)?[^\S\r\n]*(?<=\s)"
@@ -88,18 +97,36 @@ PHONE = re.compile(
     r"|(?<=[ \xa0]o[ \xa0])[6-9]\d{2}[ \xa0]\d{3}[ \xa0]\d{3}"
     r")(?![\d/-])(?!\.\d)" + EXT,
 )
-PHONE_LABEL = re.compile(r"(?:\b(?:tel|phone|telephone|mobile|cell|fax|call|tél|telefon|teléfono|telefono|handy|número|number is)\b\.?|电话|電話|連絡先|手机|फ़ोन|هاتف|โทร\.?)\s*[:：]?\s*(?:at|on)?\s*(\+?\(?\d[\d \xa0().-]{5,18}\d" + EXT + r")", re.I)
+PHONE_WORDS = "tel|phone|telephone|mobile|cell|fax|call|tél|telefon|teléfono|telefono|handy|número|number is"
+PHONE_LABELS = "电话|電話|連絡先|手机|फ़ोन|هاتف|โทร"
+PHONE_LABEL = re.compile(rf"(?:\b(?:{PHONE_WORDS})\b\.?|(?:{PHONE_LABELS})\.?)\s*[:：]?\s*(?:at|on)?\s*(\+?\(?\d[\d \xa0().-]{{5,18}}\d" + EXT + r")", re.I)
 ID_VALUE = r"[A-Z]{0,6}\d[A-Z0-9]*(?:(?:[/.-]|[^\S\r\n])\d[A-Z0-9]*|[/-][A-Z0-9]+)*"
 ID = re.compile(rf"(?<![A-Za-z0-9])(?i:{ID_LABELS})\s*(?:[:：#]|(?i:no\.?|number|is))?\s*({ID_VALUE})")
 BARE_SSN = re.compile(r"(?<![A-Za-z0-9-])\d{3}-\d{2}-\d{4}(?![\w-])")
 
-LEADS = re.compile(
-    rf"(?P<title>{TITLE}+)|"
-    rf"(?:\b(?:Nurse|Patient(?:in)?|patiente?|paciente|Patientin|Sister|Midwife|Surgeon|Physician|Consultant|Caretaker|Student|Volunteer|Participant|Herr|Frau){SP}"
-    rf"|\b(?:my name is|name is|[Nn]ame\s*[:：]|called|signed|[Rr]eviewed by|[Ww]ritten by|[Ee]dited by|[Aa]pproved by|[Ss]igned by|sent to|[Ww]e thank|[Tt]hanks to|[Cc]ontact|[Cc]orrespondence to|[Cc]orrespondence\s*:|attn\.?\s*:?|"
-    rf"guardian,|mother,|father,|relative,|carer,|[Aa]uthor contributions\s*:|Corresponding author\s*:|Correspondance\s*:|Korrespondenz\s*:|Correspondencia\s*:|remercions|danken|Agradecemos a(?: la| el)?|Kontakt\s*:|Contacto?\s*:|"
-    rf"姓名\s*[:：]|患者|氏名\s*[:：]){SP})(?P<more>{TITLE}*)",
+# Roles, phrases and labels that introduce a person.
+ROLES = "Nurse|Patient(?:in)?|patiente?|paciente|Sister|Midwife|Surgeon|Physician|Consultant|Caretaker|Student|Volunteer|Participant|Herr|Frau"
+PHRASES = (
+    "my name is|name is|[Nn]ame\\s*[:：]|called|signed|[Rr]eviewed by|[Ww]ritten by|[Ee]dited by|[Aa]pproved by|[Ss]igned by|sent to|[Ww]e thank|[Tt]hanks to|[Cc]ontact|[Cc]orrespondence to|[Cc]orrespondence\\s*:|attn\\.?\\s*:?|"
+    "guardian,|mother,|father,|relative,|carer,|[Aa]uthor contributions\\s*:|Corresponding author\\s*:|Correspondance\\s*:|Korrespondenz\\s*:|Correspondencia\\s*:|remercions|danken|Agradecemos a(?: la| el)?|Kontakt\\s*:|Contacto?\\s*:"
 )
+HAN_LABELS = "姓名|患者|病人|病患|氏名|联系人|聯絡人|医生|醫生|医師|先生|女士|护士"
+LEADS = re.compile(rf"(?P<title>{TITLE}+)|(?:\b(?:{ROLES}){SP}|\b(?:{PHRASES}){SP}|(?:{HAN_LABELS})\s*[:：]?{SP})(?P<more>{TITLE}*)")
+# Common Chinese surnames, and characters that follow a name without belonging to it.
+HAN_SURNAMES = "王李张刘陈杨赵黄周吴徐孙胡朱高林何郭马罗梁宋郑谢韩唐冯于董萧程曹袁邓许傅沈曾彭吕苏卢蒋蔡贾丁魏薛叶阎余潘杜戴夏钟汪田任姜范方石姚谭廖邹熊金陆郝孔白崔康毛邱秦江史顾侯邵孟龙万段雷钱汤尹黎易常武乔贺赖龚文張劉陳楊趙黃吳孫馬羅鄭謝韓馮許鄧蕭葉蘇盧蔣賈鍾陸顧龍錢湯賀賴龔"
+HAN_AFTER = "因的在于是说和与及为以被从到对向就于已曾将来去有无之同等也还先女男医护住报主自患，。、；：）,.;:)"
+HAN_NAME = re.compile(rf"(?:{HAN_LABELS})\s*[:：]?\s*(?P<name>(?:欧阳|司马|上官|诸葛|[{HAN_SURNAMES}])(?:[\u4e00-\u9fff](?=[{HAN_AFTER}\s]|$)|[\u4e00-\u9fff]{{2}}))")
+# Common given names.
+FEMALE_NAMES = set(
+    "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Lisa Nancy Betty Margaret Sandra Ashley Emily Michelle Carol Amanda Melissa Deborah Stephanie Rebecca Sharon Laura Cynthia Amy Kathleen Angela Anna Emma Maria Julia Sophie Alice Ruth Helen Rachel Catherine Christine "
+    "Claire Camille Chloé Élise Hélène Isabelle Nathalie Sylvie Ursula Ingrid Heike Sabine Katrin Carmen Lucía Pilar Ana Rosa Olga Irina Natalia Tatiana Svetlana Анна Мария Елена Ольга Наталья Татьяна Ирина Светлана Екатерина Μαρία Ελένη Κατερίνα".split()
+)
+MALE_NAMES = set(
+    "James Robert John Michael David William Richard Joseph Thomas Christopher Charles Daniel Matthew Anthony Steven Paul Andrew Joshua Kenneth Kevin Brian George Timothy Ronald Edward Jason Jeffrey Ryan Jacob Nicholas Eric Jonathan Stephen Peter Henry Walter Luca Joshua Noah Nikita "
+    "Pierre Jean Jacques Michel François Olivier Hans Klaus Jürgen Wolfgang Stefan Carlos José Luis Miguel Javier Ivan Sergei Dmitri Vladimir Алексей Александр Сергей Дмитрий Иван Никита Илья Владимир Николай Γιώργος Νίκος Δημήτρης".split()
+)
+GIVEN = re.compile(rf"(?<![\w-])(?:{'|'.join(sorted(FEMALE_NAMES | MALE_NAMES))})(?:{SP}{INITIAL})?{SP}{PART}?{WORD}")
+THING_AFTER = re.compile(r"(?:['’]s)?[^\S\r\n]+(?:syndrome|disease|stain|test|method|fever|sign|score|reaction|University|Hospital|Institute|Street|Road|College|Foundation|Center|Centre)\b")
 # A title of one letter is told from an initial by what follows: a given name, a surname with one, or two initials.
 AFTER_LETTER = rf"(?={LAST_FIRST}|{WORD}{SP}(?:{PART}?{WORD}|{INITIAL})|{INITIAL}{SP}{INITIAL})"
 FRENCH_M = re.compile(rf"M\.{SP}{AFTER_LETTER}")
@@ -112,20 +139,39 @@ TITLES_RE = re.compile(TITLE)
 NO_NAME = set("ID No Number MRN NHS SSN PhD The This These We In On At For With And Or From All Each No Data Samples Group Groups".split())
 
 
-# Literal pieces that every label or introduction above contains, in small letters. One scan for all of them tells
-# which patterns can match at all, and where an introduction can begin.
-ID_PIECES = "social security|ssn|licen|passport|national i|identity|id card|identification|nhs|mrn|medical record|hospital n|patient i|patient n|insurance n|tax i|tax n|permit|ausweis|versichert|versicherungs|führerschein|steuer|patientenn|patienten-|carte d|passeport|numéro de s|permis|nir|dni|nie|pasaporte|número de la s|carné|身份证|护照|身分証|旅券|パスポート|マイナンバー".split("|")
-PHONE_PIECES = "tel|phone|mobile|cell|fax|call|tél|handy|número|number is|电话|電話|連絡先|手机|फ़ोन|هاتف|โทร".split("|")
-LEAD_PIECES = (TITLES.lower().replace("herrn?", "herr") + "|nurse|patient|paciente|sister|midwife|surgeon|physician|consultant|caretaker|student|volunteer|participant|my name is|name is|name|called|signed|reviewed by|written by|edited by|approved by|sent to|we thank|thanks to|contact|correspond|attn|guardian,|mother,|father,|relative,|carer,|author contributions|correspondance|korrespondenz|remercions|danken|agradecemos|kontakt|姓名|患者|氏名").split("|")
+def literals(pattern: str) -> set[str]:
+    """The literal beginnings, in small letters, of all that a label pattern matches: what has to be in a text for it to match."""
+
+    def spelled(items: Iterable) -> list[tuple[str, bool]]:
+        out = [("", True)]  # each with whether it may go on
+        for kind, what in items:
+            if kind is sre.LITERAL:
+                ends = [(chr(what), True)]
+            elif kind is sre.IN and all(k is sre.LITERAL for k, _ in what):
+                ends = [(chr(c), True) for _, c in what]
+            elif kind is sre.SUBPATTERN:
+                ends = spelled(what[3])
+            elif kind is sre.BRANCH:
+                ends = [e for branch in what[1] for e in spelled(branch)]
+            elif kind is sre.MAX_REPEAT and what[:2] == (0, 1):
+                ends = [("", True), *spelled(what[2])]
+            else:
+                ends = [("", False)]
+            out = [x for x in out if not x[1]] + [(a + b, on) for a, going in out if going for b, on in ends]
+        return out
+
+    return {t.lower().rstrip() for t, _ in spelled(sre.parse(pattern))}
 
 
 @lru_cache(maxsize=1)
 def pieces():
+    """One automaton for the beginnings of all labels and introductions: a single scan tells which patterns can match, and where."""
     import ahocorasick
 
     known: dict[str, set[str]] = {}
-    for kind, words in (("id", ID_PIECES), ("phone", PHONE_PIECES), ("lead", LEAD_PIECES)):
-        for w in words:
+    lists = (("id", ID_LABELS), ("phone", f"{PHONE_WORDS}|{PHONE_LABELS}"), ("lead", f"{TITLES}|{ROLES}|{PHRASES}"), ("han", HAN_LABELS), ("given", "|".join(sorted(FEMALE_NAMES | MALE_NAMES))))
+    for kind, pattern in lists:
+        for w in literals(pattern):
             known.setdefault(w, set()).add(kind)
     automaton = ahocorasick.Automaton()
     for w, kinds in known.items():
@@ -182,10 +228,7 @@ def longest(text: str, at: int, end: int, taken: list[bool]) -> int:
     """Names of three or four words: the grammar takes the fewest; further capitalised words on the line belong to it."""
     if "," in text[at:end]:
         return end
-    for _ in range(2):
-        m = MORE.match(text, end)
-        if not m or any(taken[end : m.end()]) or not is_name(m.group()) or len(re.findall(r"\w+\.?", text[at : m.end()])) > 5:
-            break
+    while (m := MORE.match(text, end)) and not any(taken[end : m.end()]) and is_name(m.group()):
         end = m.end()
     return end
 
@@ -244,9 +287,17 @@ def mentions(text: str | None) -> list[tuple[int, int, str]]:
             if not a or "," in a.group() and not a.group("more"):
                 break
             got = name_at(text, a.end(), taken, bool(a.group("more")))
+    for m in HAN_NAME.finditer(text) if "han" in kinds else ():
+        take(*m.span("name"), "person")
+        full.setdefault(m["name"])
+    for m in GIVEN.finditer(text) if "given" in kinds else ():
+        if not any(taken[m.start() : m.end()]) and is_name(m.group()) and not THING_AFTER.match(text, m.end()):
+            take(*m.span(), "person")
+            full.setdefault(m.group())
     for name in full:
         # The same full name elsewhere in the document.
-        for m in re.finditer(rf"(?<!\w){re.escape(name)}(?!\w)", text):
+        edge = "" if "\u4e00" <= name[0] <= "\u9fff" else r"\w"  # between Han characters no word ends
+        for m in re.finditer(rf"(?<!{edge}){re.escape(name)}(?!{edge})" if edge else re.escape(name), text):
             take(m.start(), m.end(), "person")
     return sorted(out)
 
@@ -262,20 +313,61 @@ def found(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text).where(F.length(text) > 0).mapInPandas(each, SPANS)
 
 
+def name_words(mention: str) -> list[str]:
+    """The words of a name in small letters, the surname last."""
+    t = unicodedata.normalize("NFKC", mention).casefold()
+    if "," in t:
+        last, _, first = t.partition(",")
+        t = f"{first.strip()} {last.strip()}"
+    return re.findall(r"[\w'-]+", t)
+
+
 def entity_of(kind: str, text: str) -> str:
     """What two mentions of one entity have in common."""
-    t = unicodedata.normalize("NFKC", text).casefold()
     if kind == "person":
-        if "," in t:
-            last, _, first = t.partition(",")
-            t = f"{first.strip()} {last.strip()}"
-        return " ".join(re.findall(r"[\w'-]+", t))
+        return " ".join(name_words(text))
+    t = unicodedata.normalize("NFKC", text).casefold()
     if kind == "email":
         t = re.sub(r"\s?[\(\[\{]?\s?\bat\b\s?[\)\]\}]?\s?", "@", re.sub(r"\s?[\(\[\{]\s?dot\s?[\)\]\}]\s?", ".", t))
         return re.sub(r"\s", "", t)
     return re.sub(r"[^\w]", "", t)
 
 
+def entities_of(said: list[tuple[str, str]]) -> list[str]:
+    """The entity of each (kind, mention) of a document: a surname, alone or with initials, is the one full name that it fits, if just one does."""
+    full: dict[str, set[tuple[str, ...]]] = {}
+    for kind, mention in said:
+        ws = name_words(mention) if kind == "person" else []
+        if len(ws) > 1 and len(ws[0]) > 1:
+            full.setdefault(ws[-1], set()).add(tuple(ws))
+    out = []
+    for kind, mention in said:
+        entity = entity_of(kind, mention)
+        if kind == "person":
+            ws = name_words(mention)
+            if ws and all(len(w) == 1 for w in ws[:-1]):
+                fits = [n for n in full.get(ws[-1], ()) if all(w == v[0] for w, v in zip(ws[:-1], n))]
+                entity = " ".join(fits[0]) if len(fits) == 1 else entity
+        out.append(entity)
+    return out
+
+
+def gender_of(mention: str, title: str) -> bool | None:
+    """Whether the name is a woman's: by the title, else by the given name; None where neither tells."""
+    low = title.lower().strip(" .")
+    if low in FEMALE_TITLES or low in MALE_TITLES:
+        return low in FEMALE_TITLES
+    given = (mention.partition(",")[2].strip() or mention).split()
+    first = given[0].capitalize() if given else ""
+    return True if first in FEMALE_NAMES else False if first in MALE_NAMES else None
+
+
+def ends_female(mention: str) -> bool:
+    """What the ending of the given name, or of a Russian surname, tells."""
+    given = (mention.partition(",")[2].strip() or mention).split()
+    return bool(given) and (given[0].casefold().endswith(("a", "а", "я", "η", "α", "ा", "ी")) or mention.casefold().rstrip().endswith(("ова", "ева", "ина", "ая")))
+
+
 class Surrogates:
     """Keyed replacements within one document."""
 
@@ -288,6 +380,11 @@ class Surrogates:
         "CYRILLIC": str.maketrans(dict(zip("abdefghijklmnoprstuvwz", "абдефгхийклмнопрстувшз"))),
         "GREEK": str.maketrans(dict(zip("abdefghijklmnoprstuvwz", "αβδεφγχιξκλμνοπρστυθψζ"))),
     }
+    # Endings of a woman's and a man's given name, and of their surnames.
+    ENDINGS = {"CYRILLIC": ("а", "ан", "ова", "ов"), "GREEK": ("α", "ος", "ου", "ης")}
+    # The common letters of other scripts, by code point, and characters of Chinese given names.
+    RANGES = {"ARABIC": (0x627, 0x64A), "HEBREW": (0x5D0, 0x5EA), "DEVANAGARI": (0x915, 0x939), "THAI": (0xE01, 0xE2E), "HANGUL": (0xAC00, 0xD7A3), "HIRAGANA": (0x304B, 0x3093), "KATAKANA": (0x30AB, 0x30F3), "ARMENIAN": (0x561, 0x586), "GEORGIAN": (0x10D0, 0x10F0), "BENGALI": (0x995, 0x9B9)}
+    HAN_FEMALE, HAN_MALE = "芳娜敏静丽艳娟霞秀英玉兰燕玲桂梅琴珍雪蓉", "伟强磊军洋勇杰涛明超刚平辉鹏飞斌宇浩凯健"
     LETTERS = {"CYRILLIC": ("аеиоу", "бвгдзклмнпрст"), "GREEK": ("αεηιο", "βγδζθκλμνπρτφ")}
 
     def __init__(self, key: str, text: str):
@@ -313,43 +410,61 @@ class Surrogates:
                     made = made[: fits[0]] + unicodedata.normalize("NFC", made[fits[0]] + "".join(marks)) + made[fits[0] + 1 :]
         return made
 
-    def word(self, seed: int, ending: str, like: str = "") -> str:
+    def word(self, seed: int, last: bool, female: bool, like: str) -> str:
         """An invented name in the script of `like`, with its accents."""
+        script = self.script(like)
+        if script not in ("LATIN", "", *self.SOUNDS):
+            return "".join(self.letter(c, *divmod(seed >> 5 * i, 31)[::-1], i == 0 and last, female) for i, c in enumerate(like))
         out = ""
         for _ in range(2):
             out += self.ONSETS[seed % len(self.ONSETS)]
             seed //= len(self.ONSETS)
             out += self.VOWELS[seed % len(self.VOWELS)]
             seed //= len(self.VOWELS)
-        out = (out + self.CODAS[seed % len(self.CODAS)] + ending).translate(self.SOUNDS.get(self.script(like), {}))
+        out = (out + self.CODAS[seed % len(self.CODAS)]).translate(self.SOUNDS.get(script, {}))
+        given_f, given_m, last_f, last_m = self.ENDINGS.get(script, ("a", "o", "er", "er"))
+        out += (last_f if female else last_m) if last else given_f if female else given_m
         return self.accented(like, out).capitalize()
 
-    def replace(self, kind: str, mention: str, title: str = "") -> str:
-        entity = entity_of(kind, mention)
+    def letter(self, c: str, low: int, high: int, surname: bool = False, female: bool = False) -> str:
+        """Another letter of the same script and sort; signs and anything else stay."""
+        if unicodedata.category(c)[0] != "L":
+            return c
+        if "\u4e00" <= c <= "\u9fff":
+            pool = HAN_SURNAMES if surname else self.HAN_FEMALE if female else self.HAN_MALE
+        else:
+            script = self.script(c)
+            begin, end = self.RANGES.get(script, (ord(c) & ~63, ord(c) | 63))
+            pool = [x for x in map(chr, range(begin, end + 1)) if unicodedata.category(x) == unicodedata.category(c) and unicodedata.name(x, "").startswith(script)]
+        pool = [x for x in pool if x != c]
+        return pool[(low + 31 * high) % len(pool)] if pool else c
+
+    def replace(self, kind: str, mention: str, title: str = "", entity: str | None = None, female: bool | None = None) -> str:
+        entity = entity or entity_of(kind, mention)
+        told = gender_of(mention, title) if female is None else female
+        woman = self.female.setdefault(entity, ends_female(mention) if told is None else told)  # as at the first mention
         for turn in range(1000):
-            made = self.person(mention, title, turn) if kind == "person" else self.shaped(kind, mention, entity, turn)
+            made = self.person(mention, woman, turn) if kind == "person" else self.shaped(kind, mention, entity, turn)
             holder = self.given.get((kind, made.casefold()))
             if holder == entity or holder is None and made not in self.text:
                 self.given[kind, made.casefold()] = entity
                 return made
         raise ValueError("no distinct surrogate could be drawn")
 
-    def person(self, mention: str, title: str, turn: int) -> str:
+    def person(self, mention: str, female: bool, turn: int) -> str:
         """Each word of the name by its own key, so a shared surname stays shared; initials follow the new words."""
-        low = title.lower().strip(" .")
-        guess = low in FEMALE_TITLES or low not in MALE_TITLES and bool(re.match(r"[\w-]+a\b", mention.partition(",")[2].strip() or mention))
-        female = self.female.setdefault(entity_of("person", mention), guess)  # as at the first mention
         particles = set(PARTICLES.replace("|", " ").split())
 
         def new(m: re.Match) -> str:
             w = m.group()
             if w.casefold() in particles and w.islower():
                 return w
-            last = m.end() == len(mention) if "," not in mention else m.end() <= mention.index(",")
-            made = self.word(self.draw("name", w.casefold(), female and not last, turn), "er" if last else "a" if female else "o", w)
+            han = "\u4e00" <= w[0] <= "\u9fff"
+            last = han or (m.end() == len(mention) if "," not in mention else m.end() <= mention.index(","))
+            made = self.word(self.draw("name", w.casefold(), female and (han or not last), turn), last, female, w)
             return made[0] if len(w) == 1 else made.upper() if w.isupper() else made.lower() if w.islower() else made
 
-        return re.sub(r"[^\W\d_]+", new, mention)
+        return re.sub(rf"(?:[^\W\d_][{MARKS}]*)+", new, mention)
 
     def shaped(self, kind: str, mention: str, entity: str, turn: int) -> str:
         """The same shape: digits for digits, letters of the same case for letters; set words, country codes and endings stay."""
@@ -369,6 +484,8 @@ class Surrogates:
             seed, k = divmod(seed if seed > 1 << 20 else self.draw(kind, entity, turn, i), 936)
             if c.isdigit():
                 out.append(str(k % 10))
+            elif self.script(c) not in ("LATIN", "", *self.LETTERS):
+                out.append(self.letter(c, k % 31, k // 31))
             elif (letters := self.LETTERS.get(self.script(c))) or not c.isascii():
                 plain, *marks = unicodedata.normalize("NFD", c.lower())
                 vowels, others = letters or ("aeiou", "bdfgklmnprstvz")
@@ -392,17 +509,20 @@ def rewrite(text: str | None, key: str | None = None) -> str | None:
     numbers: dict[tuple[str, str], int] = {}
     counts: dict[str, int] = {}
     made = Surrogates(key, text) if key is not None else None
-    for a, b, kind in spans:
-        said = text[a:b]
+    entities = entities_of([(kind, text[a:b]) for a, b, kind in spans])
+    titles = [(re.findall(r"([^\W\d_]+)\.?\s+$", text[max(0, a - 14) : a]) or [""])[-1] for a, _, _ in spans]
+    genders: dict[str, bool] = {}  # what any mention of an entity tells
+    for (a, b, kind), who, title in zip(spans, entities, titles):
+        if kind == "person" and (told := gender_of(text[a:b], title)) is not None:
+            genders.setdefault(who, told)
+    for (a, b, kind), who, title in zip(spans, entities, titles):
         out.append(text[last:a])
         if made is not None:
-            title = re.findall(r"([^\W\d_]+)\.?\s+$", text[max(0, a - 14) : a])
-            out.append(made.replace(kind, said, title[-1] if title else ""))
+            out.append(made.replace(kind, text[a:b], title, who, genders.get(who)))
         else:
-            who = (kind, entity_of(kind, said))
-            if who not in numbers:
-                counts[kind] = numbers[who] = counts.get(kind, 0) + 1
-            out.append(f"[{kind.upper()}_{numbers[who]}]")
+            if (kind, who) not in numbers:
+                counts[kind] = numbers[kind, who] = counts.get(kind, 0) + 1
+            out.append(f"[{kind.upper()}_{numbers[kind, who]}]")
         last = b
     return "".join([*out, text[last:]])
 
@@ -418,8 +538,13 @@ def redacted(column: Column | str) -> Column:
     return run(column)
 
 
-def surrogates(column: Column | str, key: str = DEFAULT_KEY) -> Column:
-    """Texts with keyed surrogates; production passes a secret key."""
+def surrogates(column: Column | str, key: str | None = None) -> Column:
+    """Texts with keyed surrogates; the key is given, set in the session's KEY_SETTING, or drawn for this call alone."""
+    if key is None:
+        spark = SparkSession.getActiveSession()
+        key = (spark.conf.get(KEY_SETTING, None) if spark else None) or secrets.token_hex(32)
+    if not key:
+        raise ValueError("an empty key keeps no secret")
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -525,3 +525,60 @@ def test_units_do_not_change_with_the_size_of_the_corpus(spark):
     large = spark.createDataFrame([(i, t) for i, t in enumerate(own + ["Other words fill this text, many of them."] * 90)], "row_id bigint, text string")
     units_of = lambda df: {tuple(r) for r in sentences.sentence_units(df, ["row_id"], "text", sentences.corpus_evidence(df, "text")).collect() if r["row_id"] < 8}
     assert units_of(small) == units_of(large) and len(units_of(small)) == 8
+
+
+def scripts_of(text):
+    return {pii.Surrogates.script(c) for c in text if c.isalpha()}
+
+
+@pytest.mark.parametrize("name", ["王伟", "अनीता शर्मा", "محمد علي", "김민수", "สมชาย ใจดี", "たなか", "Анна Петрова", "Νίκος Αλεξίου", "דוד לוי"])
+def test_surrogates_keep_every_script(name):
+    made = pii.Surrogates("k", "").replace("person", name)
+    assert made != name and scripts_of(made) == scripts_of(name) and len(made.split()) == len(name.split())
+    assert made == pii.Surrogates("k", "").replace("person", name)
+
+
+def test_surrogates_keep_the_gender():
+    made = pii.Surrogates("k", "")
+    given = lambda name, title="": made.replace("person", name, title).split()[0]
+    assert given("Jennifer Smith").endswith("a") and given("Luca Rossi").endswith("o") and given("Nikita Popov").endswith("o")
+    assert given("Vikram Rao", "Mrs").endswith("a")
+    assert made.replace("person", "Ольга Петрова").endswith("ова") and made.replace("person", "Иван Петров").endswith("ов")
+
+
+def test_distinct_people_stay_distinct_and_one_stays_one():
+    text = "Dr. Smith met Mary Smith and John Brown. Later Dr. Brown and M. Smith left with Mary Smith."
+    red = pii.rewrite(text)
+    assert red == "Dr. [PERSON_1] met [PERSON_1] and [PERSON_2]. Later Dr. [PERSON_2] and [PERSON_1] left with [PERSON_1]."
+    out = pii.rewrite(text, "secret")
+    assert "Smith" not in out and "Brown" not in out
+    many = ", ".join(f"Mary K{chr(97 + i)}l{chr(97 + j)}n" for i in range(20) for j in range(20))
+    people = re.findall(r"[^,]+", pii.rewrite(many, "secret"))
+    assert len({p.strip() for p in people}) == 400
+
+
+def test_people_without_an_introduction():
+    found = lambda t: [t[a:b] for a, b, k in pii.mentions(t) if k == "person"]
+    assert found("John Smith went home.") == ["John Smith"]
+    assert found("The lab manager, Maria Lopez, was asked.") == ["Maria Lopez"]
+    assert found("患者王伟因头痛就诊。王伟说没事。") == ["王伟", "王伟"] and found("患者 王伟，男") == ["王伟"] and found("姓名：李秀英。") == ["李秀英"]
+    assert found("Peter Pan syndrome and the John Radcliffe Hospital") == []
+
+
+def test_surrogates_have_no_published_key(spark):
+    df = spark.createDataFrame([("Dr. Mary Smith came.",)], "text string")
+    one, two = (df.select(pii.surrogates("text").alias("t")).first()["t"] for _ in range(2))
+    assert one != two
+    spark.conf.set(pii.KEY_SETTING, "a secret")
+    try:
+        one, two = (df.select(pii.surrogates("text").alias("t")).first()["t"] for _ in range(2))
+        assert one == two
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    with pytest.raises(ValueError):
+        pii.surrogates("text", "")
+
+
+def test_label_pieces_come_from_the_labels():
+    assert pii.literals("a(?:b|c)?[de]\\.?") == {"ad", "ae", "abd", "abe", "acd", "ace", "ad.", "ae.", "abd.", "abe.", "acd.", "ace."}
+    assert "national insurance number" in pii.literals(pii.ID_LABELS) and "correspondence to" in pii.literals(pii.PHRASES)
