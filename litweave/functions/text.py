@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from functools import reduce
 
@@ -11,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from litweave.functions import deepjson
+
 # The ordered rewrites that bring entity names to a common form.
 NAME_REWRITES = (
     (r"(alpha|beta|gamma)(?=\s|$)", ""),
@@ -133,12 +134,12 @@ def salvage_array(text: str | None) -> str | None:
     """
     if text is None:
         return None
-    decoder, at = json.JSONDecoder(), 0
+    at = 0
     while (at := min((i for i in (text.find("[", at), text.find("{", at)) if i >= 0), default=-1)) >= 0:
         try:
-            value, end = decoder.raw_decode(text, at)
+            value, end = deepjson.raw_decode(text, at)
             return text[at:end] if isinstance(value, list) else f"[{text[at:end]}]"
-        except (ValueError, RecursionError):
+        except ValueError:
             at += 1
     first, last = text.find("["), text.rfind("]")
     return text[first : last + 1] if 0 <= first < last else None
@@ -170,13 +171,13 @@ def json_array(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 def read_json(text: str | None) -> object:
     """The value of a JSON text; None if it is null or unreadable."""
     try:
-        return json.loads(text) if isinstance(text, str) else None
-    except (ValueError, RecursionError):
+        return deepjson.loads(text) if isinstance(text, str) else None
+    except ValueError:
         return None
 
 
 def dump_json(value: object) -> str | None:
-    return None if value is None else json.dumps(value, ensure_ascii=False, sort_keys=True)
+    return None if value is None else deepjson.dumps(value, sort_keys=True)
 
 
 def _merged(base: str | None, over: str | None) -> str | None:

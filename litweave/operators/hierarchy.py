@@ -109,16 +109,16 @@ def contract_core(batch: pd.DataFrame, paths: bool) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame(rows, columns=["node", "up", "dist", "way"])
 
 
-def contract(tree: DataFrame, paths: bool = False, core_rows: int = CORE_ROWS, most_rounds: int = 500) -> DataFrame:
+def contract(tree: DataFrame, paths: bool = False, core_rows: int = CORE_ROWS) -> DataFrame:
     """(node, root, depth[, path]) of every node that has a parent; path runs from the root to the node."""
     spark = tree.sparkSession
     way = F.array().cast("array<string>") if paths else F.lit(None).cast("array<string>")
     now = cut(tree.select("node", "up", F.lit(1).cast("bigint").alias("dist"), way.alias("way")))
     left: list[DataFrame] = []
     count = now.count()
-    for turn in range(most_rounds):
-        if count <= core_rows:
-            break
+    turn = 0
+    while count > core_rows:  # every round removes something, or only self-links are left: there is no bound to run into
+        turn += 1
         # Rake: nodes without children leave at once. The count of children combines before the shuffle.
         kids = now.where("node != up").groupBy(F.col("up").alias("node")).agg(F.count("*").alias("kids"))
         marked = now.join(kids, "node", "left").withColumn("kids", F.coalesce("kids", F.lit(0)))

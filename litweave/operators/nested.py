@@ -5,22 +5,23 @@ the same document exactly if its interval [pre, post] lies within the other's. S
 nodes of one kind, and `within` links a lower table to a higher one by that containment in one sort per document.
 
 Defined results: null, blank and unreadable (cut off) texts give no nodes. A text may be a list of blocks, an object with
-`relations`, one block alone, or any of these as a JSON string once more. A lone object or string stands for a list of one;
+`relations`, one block alone, or any of these as a JSON string, wrapped however often. A lone object or string stands for a list of one;
 nulls count as positions but give no node; a bare string is an entity with only a name. Legacy names (target, context) and
 current ones (targets, contexts) mean the same; a relation that has both gets the current one's positions first. Depth is
-unbounded: the walk keeps its own stack. Repeated documents under new ids are documents of their own; a document without an
+unbounded: reader and walk keep their own stack. Repeated documents under new ids are documents of their own; a document without an
 id gives no nodes, as they could not be told apart; ids are taken as unique.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from litweave.functions import deepjson
+
 NODES = (
     "doc_id bigint, pre bigint, post bigint, parent bigint, depth int, kind string, pos int, role string, "
     "name string, type string, description string, id string, valid boolean, sentence string"
@@ -35,20 +36,18 @@ def as_list(value: object) -> list:
 
 
 def text_of(value: object) -> str | None:
-    return value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return value if value is None or isinstance(value, str) else deepjson.dumps(value)
 
 
 def load(text: str | None) -> object:
     """The value of a JSON text, unwrapped where it is a string of JSON; None if it can't be read."""
     value: object = text
-    for _ in range(4):
-        if not isinstance(value, str):
-            break
+    while isinstance(value, str):
         try:
-            value = json.loads(value.lstrip("﻿"))
-        except (ValueError, RecursionError):
+            value = deepjson.loads(value.lstrip("\N{ZERO WIDTH NO-BREAK SPACE}"))
+        except ValueError:
             return None
-    return None if isinstance(value, str) else value
+    return value
 
 
 def blocks_of(text: str | None) -> list:

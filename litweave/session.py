@@ -52,13 +52,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where it is unset (as in tests) a new local one is set."""
+    """The folder in spark.checkpoint.dir. Where it is unset a new local one is set, but only if all runs on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not folder:
         known = context._jsc.sc().getCheckpointDir()
         folder = known.get() if known.isDefined() else None
     if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="litweave-shared-")
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(folder)
