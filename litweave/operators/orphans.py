@@ -1,7 +1,15 @@
 """References to records that do not exist.
 
-Existence and references are kept as signed counts per key, folded from change deltas. Existence changes with time, so
-the count of a key is cut into epochs; a row is an orphan if it falls into an epoch of its key in which no record exists.
+All changes are signed deltas of two counts per key, of references and of existence: a row that refers to a key brings +1
+reference at its time, a record +1 existence when it is loaded and -1 when it is retired. `epoch_counts` runs the existence deltas of
+each key up to epochs with their count, puts every reference into the epoch of its key in which it falls, and folds: per
+epoch the references and the existence. Epochs with positive references and no existence are the orphans, then and now;
+`found_orphans` gives their rows, `orphan_report` their sums per table and month. `fold_counts` keeps the same counts per key without
+epochs, for the current report, batch by batch.
+
+A key may hold a third of all references. Keys are counted first, by partial counts, and those with more than their share of a
+task (HOT_PARTS a partition, so at most HOT_PARTS times the partitions of keys) are spread over as many salts as they have
+shares; only their epochs are copied, and no other key is.
 
 Defined results: ids are compared in key form (outer blanks trimmed, upper case); null and blank ids refer to nothing. A
 record without loaded_at has always existed, one whose retired_at is not after its loaded_at never has. A row without a
@@ -14,8 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from litweave.session import cut
+
 BLANKS = r"^[\s\u0085\u00A0\u1680\u2000-\u200B\u2028\u2029\u202F\u205F\u3000\uFEFF]+|[\s\u0085\u00A0\u1680\u2000-\u200B\u2028\u2029\u202F\u205F\u3000\uFEFF]+$"
-SALTS = 16
+HOT_PARTS = 4
 EVER = "0001-01-01 00:00:00"
 
 
@@ -47,42 +57,72 @@ def current_orphans(state: DataFrame) -> DataFrame:
     return state.where((F.col("refs") > 0) & (F.col("exists") <= 0))
 
 
-def existence_deltas(records: DataFrame, key: str, loaded: str, retired: str | None = None) -> DataFrame:
-    """(key, at, exists): +1 when a record is loaded and -1 when it is retired, summed per key and time."""
+def existence_deltas(records: DataFrame, key: str, loaded: str, retired: str | None = None, *by: str) -> DataFrame:
+    """(by, key, at, exists): +1 when a record is loaded and -1 when it is retired, summed per key and time."""
     gone = (F.col(retired) if retired else F.lit(None)).cast("timestamp_ntz")
-    r = records.select(key_form(key).alias("key"), F.coalesce(F.col(loaded).cast("timestamp_ntz"), F.lit(EVER).cast("timestamp_ntz")).alias("start"), gone.alias("end"))
+    r = records.select(*by, key_form(key).alias("key"), F.coalesce(F.col(loaded).cast("timestamp_ntz"), F.lit(EVER).cast("timestamp_ntz")).alias("start"), gone.alias("end"))
     r = r.where(F.col("key").isNotNull() & (F.col("end").isNull() | (F.col("end") > F.col("start"))))
     steps = F.array(
-        F.struct(F.col("start").alias("at"), F.lit(1).alias("by")),
-        F.struct(F.col("end").alias("at"), F.lit(-1).alias("by")),
+        F.struct(F.col("start").alias("at"), F.lit(1).alias("by_")),
+        F.struct(F.col("end").alias("at"), F.lit(-1).alias("by_")),
     )
-    r = r.select("key", F.inline(steps)).where(F.col("at").isNotNull())
-    return r.groupBy("key", "at").agg(F.sum("by").alias("exists")).where(F.col("exists") != 0)
+    r = r.select(*by, "key", F.inline(steps)).where(F.col("at").isNotNull())
+    return r.groupBy(*by, "key", "at").agg(F.sum("by_").alias("exists")).where(F.col("exists") != 0)
 
 
-def epochs(deltas: DataFrame) -> DataFrame:
-    """(key, spans): the epochs [from, till) in which the count of the key is positive, adjoining ones merged."""
-    w = Window.partitionBy("key").orderBy("at")
+def epochs(deltas: DataFrame, *by: str) -> DataFrame:
+    """(by, key, spans): the epochs of each key in order, each from its first moment on with the count of existence in it."""
+    w = Window.partitionBy(*by, "key").orderBy("at")
     run = deltas.withColumn("n", F.sum("exists").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    run = run.withColumn("there", F.col("n") > 0).withColumn("was", F.coalesce(F.lag("there").over(w), F.lit(False)))
-    turns = run.where(F.col("there") != F.col("was")).withColumn("till", F.lead("at").over(w)).where("there")
-    return turns.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(F.col("at").alias("from"), "till"))).alias("spans"))
+    return run.groupBy(*by, "key").agg(F.array_sort(F.collect_list(F.struct(F.col("at").alias("from"), "n"))).alias("spans"))
+
+
+def referring(rows: DataFrame, row_id: str, key: Column, at: str) -> DataFrame:
+    """(row_id, key, at) of the rows that refer to something: each is a delta of +1 reference."""
+    r = rows.select(F.col(row_id).alias("row_id"), key.alias("key"), F.col(at).cast("timestamp_ntz").alias("at"))
+    return r.where(F.col("key").isNotNull())
+
+
+def hot_keys(refs: DataFrame, by: list[str], hot_parts: int = HOT_PARTS) -> DataFrame:
+    """(by, key, salts) of the keys with more references than a hot_parts-th of a partition's share."""
+    parts = hot_parts * int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = refs.count() / parts
+    counts = refs.groupBy(*by, "key").agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") > share).select(*by, "key", F.ceil(F.col("n") / max(share, 1.0)).cast("int").alias("salts"))
 
 
-def orphan_rows(rows: DataFrame, row_id: str, key: Column, at: str, records: DataFrame, record_key: str, loaded: str, retired: str | None = None, salts: int = SALTS) -> DataFrame:
-    """(row_id, key, at) of the rows whose key has no record at the row's time.
+def placed(refs: DataFrame, deltas: DataFrame, by: tuple[str, ...] = (), hot_parts: int = HOT_PARTS) -> DataFrame:
+    """refs(by, row_id, key, at) with the epoch each falls into, its first moment, and the existence in it; both of no record: null and 0.
 
-    The join spreads each key over `salts` buckets, for one key may hold a third of all rows; the other side has one
-    row per key, its epochs, and is copied once per bucket.
+    A reference without a time is placed into the epoch with the most existence.
     """
-    spans = epochs(existence_deltas(records, record_key, loaded, retired))
-    spans = spans.select(F.col("key"), "spans", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    refs = rows.select(F.col(row_id).alias("row_id"), key.alias("key"), F.col(at).cast("timestamp_ntz").alias("at")).where(F.col("key").isNotNull())
-    refs = refs.withColumn("salt", F.pmod(F.xxhash64("row_id", "at"), F.lit(salts)).cast("int"))
-    met = refs.join(spans, ["key", "salt"], "left")
-    held = F.exists("spans", lambda s: (s["from"] <= F.col("at")) & (s["till"].isNull() | (s["till"] > F.col("at"))))
-    held = F.when(F.col("at").isNull(), F.col("spans").isNotNull()).otherwise(F.coalesce(held, F.lit(False)))
-    return met.where(~held).select("row_id", "key", "at")
+    spread = F.broadcast(cut(hot_keys(refs, list(by), hot_parts)))  # at most HOT_PARTS times as many rows as there are partitions
+    on = [*by, "key"]
+    salts = F.coalesce("salts", F.lit(1))
+    spans = epochs(deltas, *by).join(spread, on, "left").select(*on, "spans", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    salted = refs.join(spread, on, "left").withColumn("salt", F.pmod(F.xxhash64("row_id", "at"), salts).cast("int")).drop("salts")
+    met = salted.join(spans, [*on, "salt"], "left").drop("salt")
+    timeless = F.array_max(F.transform("spans", lambda s: F.struct(s["n"].alias("n"), s["from"].alias("from"))))
+    begun = F.filter("spans", lambda s: s["from"] <= F.col("at"))
+    latest = F.try_element_at(begun, F.lit(-1))
+    epoch = F.when(F.col("at").isNull(), timeless["from"]).otherwise(latest["from"])
+    there = F.when(F.col("at").isNull(), timeless["n"]).otherwise(latest["n"])
+    return met.select(*by, "row_id", "key", "at", epoch.alias("epoch"), F.coalesce(there, F.lit(0)).alias("exists"))
+
+
+def epoch_counts(refs: DataFrame, deltas: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, key, epoch, refs, exists): the signed counts folded per key and epoch."""
+    return placed(refs, deltas, by).groupBy(*by, "key", "epoch").agg(F.count("*").alias("refs"), F.first("exists").alias("exists"))
+
+
+def found_orphans(refs: DataFrame, deltas: DataFrame, by: tuple[str, ...] = (), hot_parts: int = HOT_PARTS) -> DataFrame:
+    """(by, row_id, key, at) of the references in epochs without existence; each is itself the positive reference of its epoch."""
+    return placed(refs, deltas, by, hot_parts).where("exists <= 0").select(*by, "row_id", "key", "at")
+
+
+def orphan_rows(rows: DataFrame, row_id: str, key: Column, at: str, records: DataFrame, record_key: str, loaded: str, retired: str | None = None, hot_parts: int = HOT_PARTS) -> DataFrame:
+    """(row_id, key, at) of the rows of one table whose key has no record at the row's time."""
+    return found_orphans(referring(rows, row_id, key, at), existence_deltas(records, record_key, loaded, retired), hot_parts=hot_parts)
 
 
 def orphan_report(rows: DataFrame) -> DataFrame:

@@ -9,18 +9,24 @@ from litweave.operators import compaction, hierarchy, nested, orphans
 from litweave.session import table
 
 
-def p1_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    member = orphans.orphan_rows(
-        table(spark, sf_dir, "member_table"), "member_id", orphans.key_form("ipr_id"), "loaded_at",
-        table(spark, sf_dir, "entry_table"), "ipr_id", "loaded_at", "retired_at",
-    )
-    mapped = orphans.orphan_rows(
-        table(spark, sf_dir, "uniprot_idmapping"), "map_id", orphans.base_accession(orphans.key_form("uniprot_id")), "loaded_at",
-        table(spark, sf_dir, "uniprot_ref"), "accession", "loaded_at", "retired_at",
-    )
+def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, row_id, key, at) of both tables; ids of proteins without isoform."""
+    member = orphans.referring(table(spark, sf_dir, "member_table"), "member_id", orphans.key_form("ipr_id"), "loaded_at")
+    mapped = orphans.referring(table(spark, sf_dir, "uniprot_idmapping"), "map_id", orphans.base_accession(orphans.key_form("uniprot_id")), "loaded_at")
     return member.withColumn("src", F.lit("member_table")).unionByName(mapped.withColumn("src", F.lit("uniprot_idmapping")))
 
 
+def _existence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, key, at, exists) of the tables that they refer to."""
+    entries = table(spark, sf_dir, "entry_table").select(F.lit("member_table").alias("src"), F.col("ipr_id").alias("id"), "loaded_at", "retired_at")
+    proteins = table(spark, sf_dir, "uniprot_ref").select(F.lit("uniprot_idmapping").alias("src"), F.col("accession").alias("id"), "loaded_at", "retired_at")
+    return orphans.existence_deltas(entries.unionByName(proteins), "id", "loaded_at", "retired_at", "src")
+
+
+def p1_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orphans.found_orphans(_references(spark, sf_dir), _existence(spark, sf_dir), ("src",))
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_orphans(spark, sf_dir).select("src", "row_id", F.date_format("at", "yyyy-MM").alias("period"))
 
@@ -39,20 +45,17 @@ def p1_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for both tables, each key with its table; ids of proteins without isoform."""
-    mapped = orphans.base_accession(orphans.key_form("uniprot_id"))
-    parts = []
-    for src, key, records, record_key in (
-        ("member_table", orphans.key_form("ipr_id"), "entry_table", "ipr_id"),
-        ("uniprot_idmapping", mapped, "uniprot_ref", "accession"),
-    ):
-        refs = table(spark, sf_dir, src).select(key.alias("key"), F.lit(1).alias("refs"), F.lit(0).alias("exists"))
-        steps = orphans.existence_deltas(table(spark, sf_dir, records), record_key, "loaded_at", "retired_at")
-        both = refs.unionByName(steps.select("key", F.lit(0).alias("refs"), "exists"))
-        parts.append(both.select(F.lit(src).alias("src"), "key", "refs", "exists"))
-    deltas = parts[0].unionByName(parts[1])
+    refs = _references(spark, sf_dir).select("src", "key", F.lit(1).alias("refs"), F.lit(0).alias("exists"))
+    deltas = refs.unionByName(_existence(spark, sf_dir).select("src", "key", F.lit(0).alias("refs"), "exists"))
     return orphans.current_orphans(orphans.fold_counts(deltas.limit(0), deltas, ("src", "key")))
 
 
+def p1_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signed reference and existence counts of every key and epoch with references: orphans where exists is 0."""
+    counts = orphans.epoch_counts(_references(spark, sf_dir), _existence(spark, sf_dir), ("src",))
+    return counts.groupBy("src", (F.col("exists") <= 0).alias("orphan")).agg(F.sum("refs").alias("refs"), F.count("*").alias("epochs"))
+
+
 def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.nodes(table(spark, sf_dir, "merged"), "merged_id", "relations")
 
@@ -101,7 +104,7 @@ def p6_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hierarchy.cyclic(table(spark, sf_dir, "relation_table"), "parent", "child")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_state, p1_states, p2_found, p2_sentences, p2_relations, p2_entities, p5_found, p6_found, p6_paths, p6_descendants, p6_parents, p6_cycles)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_state, p1_states, p1_epochs, p2_found, p2_sentences, p2_relations, p2_entities, p5_found, p6_found, p6_paths, p6_descendants, p6_parents, p6_cycles)}
 
 _P1 = """
 WITH refs AS (
@@ -128,6 +131,13 @@ t AS (
 ORACLE = {
     "p1_found": _P1 + "SELECT src, row_id, strftime(ts, '%Y-%m') AS period FROM orphan",
     "p1_report": _P1 + "SELECT src, strftime(ts, '%Y-%m') AS period, count(*) AS orphan_rows, count(DISTINCT k) AS orphan_keys FROM orphan GROUP BY 1, 2",
+    "p1_epochs": _P1 + """,
+step AS (SELECT src, k, t, sum(d) AS d FROM (
+    SELECT src, k, loaded_at AS t, 1 AS d FROM (SELECT 'member_table' AS src, upper(trim(ipr_id)) AS k, loaded_at, retired_at FROM entry_table UNION ALL SELECT 'uniprot_idmapping', accession, loaded_at, retired_at FROM uniprot_ref) WHERE retired_at IS NULL OR retired_at > loaded_at
+    UNION ALL SELECT src, k, retired_at, -1 FROM (SELECT 'member_table' AS src, upper(trim(ipr_id)) AS k, loaded_at, retired_at FROM entry_table UNION ALL SELECT 'uniprot_idmapping', accession, loaded_at, retired_at FROM uniprot_ref) WHERE retired_at > loaded_at) GROUP BY 1, 2, 3 HAVING sum(d) <> 0),
+run AS (SELECT src, k, t, sum(d) OVER (PARTITION BY src, k ORDER BY t) AS n FROM step),
+met AS (SELECT r.src, r.k, run.t AS epoch, coalesce(run.n, 0) AS n FROM (SELECT * FROM refs WHERE k IS NOT NULL) r ASOF LEFT JOIN run ON run.src = r.src AND run.k = r.k AND run.t <= r.ts)
+SELECT src, n <= 0 AS orphan, count(*) AS refs, count(DISTINCT (k, epoch)) AS epochs FROM met GROUP BY 1, 2""",
     "p1_state": """
 WITH x AS (SELECT nullif(upper(trim(ipr_id)), '') AS k, count(*) AS refs FROM member_table GROUP BY 1),
 y AS (SELECT upper(trim(ipr_id)) AS k, sum(CASE WHEN retired_at IS NULL THEN 1 ELSE 0 END) AS n FROM entry_table GROUP BY 1)
