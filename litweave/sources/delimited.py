@@ -27,6 +27,16 @@ def lines(spark: SparkSession, path: str | list[str], safe: bool = False) -> Dat
     return reader.text(path, lineSep="\n").select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"))
 
 
+def data_lines(rows: DataFrame, header: str) -> DataFrame:
+    """lines(line, path) without the header line that stands first in a file; rows that repeat it further down stay.
+
+    Only where a file has the header at all is it looked up which line of it comes first, from the place of each such line in its file.
+    """
+    placed = rows.withColumn("_at", F.monotonically_increasing_id())
+    first = placed.where(F.col("line") == header).groupBy("path").agg(F.min("_at").alias("_at")).withColumn("_first", F.lit(True))
+    return placed.join(first, ["path", "_at"], "left").where(F.col("_first").isNull()).drop("_at", "_first")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p))
@@ -74,7 +84,7 @@ def read_table(spark: SparkSession, path: str, header: list[str] | None = None)
     names = header or clean_header(next(csv.reader(io.StringIO(first), delimiter=sep), []))
     rows = lines(spark, path).where(F.col("line") != "")
     if header is None:
-        rows = rows.where(F.col("line") != first)
+        rows = data_lines(rows, first)
     if sep == ",":
         parsed = F.from_csv(F.regexp_replace("line", r"\\", ""), ", ".join(f"`{n}` string" for n in names), {"sep": ",", "quote": '"'})
         return rows.select(parsed.alias("r")).select("r.*")
@@ -83,11 +93,11 @@ def read_table(spark: SparkSession, path: str, header: list[str] | None = None)
 
 
 def read_many(spark: SparkSession, paths: list[str], safe: bool = True) -> DataFrame:
-    """Tables of one header from many files: the header of the first, later header lines dropped, missing cells null."""
+    """Tables of one header from many files: the header of the first, header lines at the top of later ones dropped, missing cells null."""
     found = [p for p in paths if not safe or exists(spark, p)]
     first = next((h for p in found if (h := header_of(spark, p))), "")
     names = clean_header(first.split("\t"))
-    rows = lines(spark, found).where((F.col("line") != "") & (F.col("line") != first)).select(cells(F.col("line")).alias("c"))
+    rows = data_lines(lines(spark, found).where(F.col("line") != ""), first).select(cells(F.col("line")).alias("c"))
     return rows.select(*(F.get("c", F.lit(i)).alias(n) for i, n in enumerate(names)))
 
 

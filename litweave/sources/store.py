@@ -12,6 +12,7 @@ from importlib import resources
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from litweave.operators.models import RateLimiter, retried
 from litweave.session import new_path, remove, rename
@@ -60,18 +61,51 @@ def without(files: DataFrame, names: list[str]) -> DataFrame:
     return files.where(~F.coalesce(F.col("name").isin(names), F.lit(False)))
 
 
-def as_content(value: Column) -> Column:
-    """Structs, arrays and maps as JSON, all else as text."""
-    return F.to_json(value)
+def as_content(rows: DataFrame, column: str) -> Column:
+    """A column as content: structs, arrays, maps and variants as JSON, all else as text; null stays null."""
+    kind = rows.select(column).schema[0].dataType
+    if isinstance(kind, (StructType, ArrayType, MapType, VariantType)):
+        return F.to_json(F.col(column))
+    return F.col(column).cast("string")
+
+
+POINTER = "_current"
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write beside and then move, so that readers see the old table or the new one."""
+    """Replace a table that `read_replaced` reads, so that readers see the old rows or the new ones at any moment.
+
+    The rows are written as a new version below the path; then the pointer, an empty file named after the version, is put down by
+    one rename, the highest being the current one. Versions before the one replaced are removed, as readers may still be at that.
+    """
     spark = df.sparkSession
-    staging = new_path(spark, "table")
-    df.write.parquet(staging)
-    remove(spark, path)
-    rename(spark, staging, path)
+    known = versions(spark, path)
+    version = (known[-1] if known else 0) + 1
+    df.write.mode("overwrite").parquet(f"{path}/v{version:012d}")  # what a failed attempt left there is no version yet
+    mark = new_path(spark, "pointer")
+    files, conf = spark._jvm.org.apache.hadoop.fs.Path(mark), spark.sparkContext._jsc.hadoopConfiguration()
+    files.getFileSystem(conf).create(files).close()
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}")
+    place.getFileSystem(conf).mkdirs(place)
+    rename(spark, mark, f"{path}/{POINTER}/{version:012d}")
+    for old in known[:-1]:
+        remove(spark, f"{path}/v{old:012d}")
+        remove(spark, f"{path}/{POINTER}/{old:012d}")
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions that were put down, in order."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(int(f.getPath().getName()) for f in files.listStatus(place) if f.getPath().getName().isdigit()) if files.exists(place) else []
+
+
+def read_replaced(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table written by `replace_table`."""
+    known = versions(spark, path)
+    if not known:
+        raise FileNotFoundError(path)
+    return spark.read.parquet(f"{path}/v{known[-1]:012d}")
 
 
 def write_pruned(df: DataFrame, path: str, partition: list[str] | None = None, sort: list[str] | None = None, rows_per_file: int = 5_000_000) -> None:
@@ -148,16 +182,25 @@ def remote_search(queries: DataFrame, column: str, search: Callable[[str, int],
     return queries.select(F.col(column).alias("query")).dropna().distinct().coalesce(tasks).mapInPandas(each, "query string, rank int, id string, name string, description string")
 
 
-# The ten classes of chemical-protein relations.
+# The ten classes of chemical-protein relations under their public names (ChemProt corpus of BioCreative VI).
 CPR = (
-    ("CPR:1", "part of"), ("CPR:2", "regulator"), ("CPR:3", "upregulator or activator"), ("CPR:4", "downregulator or inhibitor"), ("CPR:5", "agonist"),
-    ("CPR:6", "antagonist"), ("CPR:7", "modulator"), ("CPR:8", "cofactor"), ("CPR:9", "substrate or product of"), ("CPR:10", "not"),
-)
+    ("CPR:1", "PART_OF", "The chemical is a part of the protein."),
+    ("CPR:2", "REGULATOR", "The chemical regulates the protein, directly or not."),
+    ("CPR:3", "UPREGULATOR", "The chemical raises or activates the protein, directly or not."),
+    ("CPR:4", "DOWNREGULATOR", "The chemical lowers or inhibits the protein, directly or not."),
+    ("CPR:5", "AGONIST", "The chemical is an agonist of the protein."),
+    ("CPR:6", "ANTAGONIST", "The chemical is an antagonist of the protein."),
+    ("CPR:7", "MODULATOR", "The chemical modulates the protein."),
+    ("CPR:8", "COFACTOR", "The chemical is a cofactor of the protein."),
+    ("CPR:9", "SUBSTRATE_OR_PRODUCT", "The chemical is a substrate or a product of what the protein does."),
+    ("CPR:10", "NOT", "The text says that there is no such relation."),
+)
 
 
 def relation_classes(spark: SparkSession, k: int = 10) -> DataFrame:
-    rows = [(i + 1, c, n) for i, (c, n) in enumerate(CPR)]
-    return spark.createDataFrame(rows, "rank int, id string, name string").where(F.col("rank") <= k)
+    """The first k classes in their order, as search hits: id, name, description, rank."""
+    rows = [(i + 1, *c) for i, c in enumerate(CPR)]
+    return spark.createDataFrame(rows, "rank int, id string, name string, description string").where(F.col("rank") <= k)
 
 
 def prompt(name: str) -> str:

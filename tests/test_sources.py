@@ -62,6 +62,11 @@ def test_tables(spark, tmp_path):
     got = delimited.read_table(spark, str(tmp_path / "t.gz"))
     assert got.columns == ["id", "name"] and sorted(map(tuple, got.collect())) == [("1", "ab"), ("2", "")]
     assert delimited.read_table(spark, str(tmp_path / "t.gz"), ["p", "q"]).count() == 3
+    (tmp_path / "h1.tsv").write_text("a\tb\n1\t2\na\tb\n")
+    (tmp_path / "h2.tsv").write_text("a\tb\n3\t4\n")
+    got = delimited.read_many(spark, [str(tmp_path / "h1.tsv"), str(tmp_path / "h2.tsv")])
+    assert sorted(map(tuple, got.collect())) == [("1", "2"), ("3", "4"), ("a", "b")]
+    assert sorted(map(tuple, delimited.read_table(spark, str(tmp_path / "h1.tsv")).collect())) == [("1", "2"), ("a", "b")]
     (tmp_path / "c.csv").write_text('"a","b"\n"x, y",2\n')
     assert [tuple(r) for r in delimited.read_table(spark, str(tmp_path / "c.csv")).collect()] == [("x, y", "2")]
 
@@ -108,7 +113,14 @@ def test_store(spark, tmp_path):
     path = str(tmp_path / "t")
     for df in (f, f.limit(1)):
         store.replace_table(df, path)
-    assert spark.read.parquet(path).count() == 1
+    assert store.read_replaced(spark, path).count() == 1
+    for n in (2, 3):
+        before = store.read_replaced(spark, path)
+        store.replace_table(f.limit(n), path)
+        assert before.count() == n - 1 and store.read_replaced(spark, path).count() == n
+    kinds = spark.sql("select 'a' as t, 1 as n, named_struct('x', 1) as s, array(1, 2) as l, cast(null as string) as z")
+    got = kinds.select(*(store.as_content(kinds, c).alias(c) for c in kinds.columns)).first()
+    assert tuple(got) == ("a", "1", '{"x":1}', "[1,2]", None)
     store.write_pruned(f.where("name is not null"), str(tmp_path / "p"), ["name"], ["pmid"])
     assert spark.read.parquet(str(tmp_path / "p")).where("name = 'b'").count() == 1
     calls = []
