@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litweave.functions import text as T
+from litweave.functions.prompts import prompt as stored
 from litweave.session import cut
 
 ANSWERS = "key string, answer string, error string"
@@ -34,7 +35,8 @@ class StubClient:
 
     def query(self, prompt: str) -> str:
         if "CLAIM:" in prompt:
-            sentence, _, claim = prompt.partition("CLAIM:")
+            given, _, claim = prompt.rpartition("CLAIM:")
+            sentence = given.rpartition("GIVEN:")[2]
             said = set(re.findall(r"\w+", sentence.lower()))
             return "yes" if all(w in said for w in re.findall(r"\w+", claim.lower())) else "no"
         if "SPLIT:" in prompt:
@@ -109,15 +111,20 @@ def choice_prompt(name: Column, description: Column, hits: Column, example: Colu
         return F.struct(used.alias("used"), F.when(used <= PROMPT_CHARS, F.concat(a["kept"], F.array(line))).otherwise(a["kept"]).alias("kept"))
 
     kept = F.aggregate(lines, start, add)["kept"]
-    shown = F.concat(F.lit("\nUsed in: "), example) if example is not None else F.lit("")
+    shown = F.coalesce(F.concat(F.lit("\nUsed in: "), example), F.lit("")) if example is not None else F.lit("")
     return F.concat(F.lit("Which entry is meant by: "), T.search_text(name, description), shown, F.lit("\nAnswer with its id, or NONE.\n"), F.array_join(kept, "\n"))
 
 
 def judged(mentions: DataFrame, factory: Callable[[], Client] = StubClient, method: str = "strict") -> DataFrame:
-    """mentions(name, description, hits) with best, the hit the model chose, and status ok, empty (no hit offered) or failed."""
+    """mentions(name, description, hits[, example]) with best, the hit the model chose, and status ok, empty (no hit offered) or failed.
+
+    method is the policy, with a prompt of its own: strict (the same thing only), relaxed (a parent will do) or forced (some hit must be
+    taken). example, a relation in which the mention is used, is shown where there is one.
+    """
     offered = F.size(F.coalesce("hits", F.array().cast(mentions.schema["hits"].dataType))) > 0
-    rows = mentions.withColumn("prompt", F.when(offered, choice_prompt(F.col("name"), F.col("description"), F.col("hits"))))
-    out = answered(rows, "prompt", factory)
+    example = F.col("example") if "example" in mentions.columns else None
+    asked = F.concat(F.lit(stored(f"select/{method}.txt") + "\n"), choice_prompt(F.col("name"), F.col("description"), F.col("hits"), example))
+    out = answered(mentions.withColumn("prompt", F.when(offered, asked)), "prompt", factory)
     best = T.hit_contained(F.col("answer"), F.col("hits"), strict=method == "strict")
     if method == "forced":
         best = F.coalesce(best, F.get("hits", F.lit(0)))
@@ -125,23 +132,24 @@ def judged(mentions: DataFrame, factory: Callable[[], Client] = StubClient, meth
     return out.withColumn("best", F.when(offered & F.col("error").isNull(), best)).withColumn("status", status).drop("prompt", "key")
 
 
-def checked(relations: DataFrame, factory: Callable[[], Client] = StubClient) -> DataFrame:
-    """relations(sentence, claim) with valid, the model's yes or no."""
-    rows = relations.withColumn("prompt", F.concat(F.lit("Does the sentence state it? SENTENCE: "), "sentence", F.lit("\nCLAIM: "), "claim"))
+def checked(relations: DataFrame, factory: Callable[[], Client] = StubClient, method: str = "strict") -> DataFrame:
+    """relations(sentence, claim) with valid, the model's yes or no; method is strict or loose, each with a prompt of its own."""
+    rows = relations.withColumn("prompt", F.concat(F.lit(stored(f"validate/{method}.txt") + "\nGIVEN: "), "sentence", F.lit("\nCLAIM: "), "claim"))
     return answered(rows, "prompt", factory).withColumn("valid", T.yes_no(F.col("answer"))).drop("prompt", "key")
 
 
 def covered(first: DataFrame, second: DataFrame, doc_id: str, claim: str, factory: Callable[[], Client] = StubClient) -> DataFrame:
     """Each claim of one run with whether the claims of the other run on the same document cover it."""
     others = second.groupBy(doc_id).agg(F.array_join(F.array_sort(F.collect_set(claim)), "\n").alias("others"))
-    rows = first.join(others, doc_id, "left").withColumn("prompt", F.when(F.col("others").isNotNull(), F.concat(F.lit("Is it covered? "), "others", F.lit("\nCLAIM: "), claim)))
+    asked = F.concat(F.lit(stored("cover/claims.txt") + "\nGIVEN: "), "others", F.lit("\nCLAIM: "), claim)
+    rows = first.join(others, doc_id, "left").withColumn("prompt", F.when(F.col("others").isNotNull(), asked))
     return answered(rows, "prompt", factory).withColumn("covered", F.coalesce(T.yes_no(F.col("answer")), F.lit(False))).drop("prompt", "key", "others")
 
 
 def decomposed(entities: DataFrame, factory: Callable[[], Client] = StubClient, types: tuple[str, ...] = ("GO", "cell_type")) -> DataFrame:
     """entities(name, type) with `rewritten`, the JSON of what the model splits the name into, null to keep it."""
     ask = F.col("type").isin(list(types)) & (F.trim("name") != "")
-    rows = entities.withColumn("prompt", F.when(ask, F.concat(F.lit("Split the term if it names several things. SPLIT: "), "name")))
+    rows = entities.withColumn("prompt", F.when(ask, F.concat(F.lit(stored("split/entity.txt") + "\nTYPE: "), "type", F.lit("\nSPLIT: "), "name")))
     out = answered(rows, "prompt", factory)
     return out.withColumn("rewritten", F.when(F.trim("answer").startswith("{") & F.try_parse_json("answer").isNotNull(), F.col("answer"))).drop("prompt", "key")
 
@@ -152,7 +160,7 @@ def extracted(sentences: DataFrame, factory: Callable[[], Client]) -> DataFrame:
     from litweave.operators.relational import running_history
 
     rows = running_history(sentences, "doc_id", "sent_no", "sentence")
-    rows = rows.withColumn("prompt", F.concat(F.lit("Earlier: "), "history", F.lit("\nList the relations in this sentence as a JSON array: "), "sentence"))
+    rows = rows.withColumn("prompt", F.concat(F.lit(stored("extract/relations.txt") + "\nBefore it: "), "history", F.lit("\nThe sentence: "), "sentence"))
     out = answered(rows, "prompt", factory).withColumn("relations", T.json_array("answer"))
     return out.withColumn("status", F.when(F.col("relations").isNull(), "failed").otherwise("ok")).drop("prompt", "key")
 

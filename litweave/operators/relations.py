@@ -6,7 +6,6 @@ go as deep as it goes. Rebuilding nests the flat tables again.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from litweave.functions import deepjson
+from litweave.functions.text import dump_json, read_json
 from litweave.operators import nested
 from litweave.operators.relational import best_per_key, fallback_lookup
 
@@ -85,6 +86,14 @@ def example_relation(found: DataFrame) -> DataFrame:
     return best_per_key(found.select("doc_id", "name", "block_no", "rel_no"), ["doc_id", "name"], F.col("block_no"), F.col("rel_no"))
 
 
+def examples(found: DataFrame) -> DataFrame:
+    """(doc_id, name, example): the first relation that holds each name, as JSON of the names in each role, without descriptions."""
+    key = ["doc_id", "block_no", "rel_no"]
+    names = {r: F.array_sort(F.collect_set(F.when((F.col("role") == r) & (F.col("level") == 0), F.col("name")))).alias(f"{r}s") for r in ("component", "target", "context")}
+    shown = found.groupBy(*key).agg(*names.values()).select(*key, F.to_json(F.struct("components", "targets", "contexts")).alias("example"))
+    return example_relation(found.where(F.trim("name") != "")).join(shown, key).select("doc_id", "name", "example")
+
+
 def apply_best(found: DataFrame, best: DataFrame, ontologies: list[Ontology]) -> DataFrame:
     """Mentions under the names and ids they were resolved to.
 
@@ -112,14 +121,14 @@ def converted(pending: DataFrame, resolved: DataFrame, key: list[str]) -> tuple[
 
 def flattened(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, block_no, rel_no, relation, component, target) one row per pair of a relation."""
-    n = nested.nodes(docs, doc_id, text)
-    rel = nested.relations(n).select("doc_id", F.col("pre").alias("relation_pre"), "block_no", "rel_no", F.col("name").alias("relation"))
-    top = nested.entities(n).where(~F.col("ent_path").contains("."))
-    side = top.select("doc_id", "relation_pre", "role", F.struct("pre", "name", "type", "id").alias("e"))
-    sides = side.groupBy("doc_id", "relation_pre").agg(
-        F.array_sort(F.collect_list(F.when(F.col("role") == "component", F.col("e")))).alias("c"), F.array_sort(F.collect_list(F.when(F.col("role") == "target", F.col("e")))).alias("t")
+    n = nested.within(nested.within(nested.nodes(docs, doc_id, text), "sentence", "block_"), "relation", "rel_")
+    # A relation and the entities right below it share its number, so one aggregate over the nodes, which come sorted by document, puts both together.
+    n = n.where("kind = 'relation' or (kind = 'entity' and parent = rel_pre)").withColumn("e", F.struct("pre", "name", "type", "id"))
+    kept = n.groupBy("doc_id", F.col("rel_pre").alias("relation_pre")).agg(
+        F.max(F.when(F.col("kind") == "relation", F.struct("block_pos", "pos", "name"))).alias("r"),
+        *(F.array_sort(F.collect_list(F.when((F.col("kind") == "entity") & (F.col("role") == role), F.col("e")))).alias(role[0]) for role in ("component", "target")),
     )
-    pairs = rel.join(sides, ["doc_id", "relation_pre"]).withColumn("c", F.explode("c")).withColumn("t", F.explode("t"))
+    pairs = kept.select("doc_id", F.col("r.block_pos").alias("block_no"), F.col("r.pos").alias("rel_no"), F.col("r.name").alias("relation"), "c", "t").withColumn("c", F.explode("c")).withColumn("t", F.explode("t"))
     cols = [F.col(f"{s}.{f}").alias(f"{n}_{f}") for s, n in (("c", "component"), ("t", "target")) for f in ("name", "type", "id")]
     return pairs.select("doc_id", "block_no", "rel_no", "relation", *cols)
 
@@ -129,7 +138,8 @@ def process_facts(flat: DataFrame, accessions: DataFrame, terms: DataFrame | Non
     id_of = F.col("target_id")
     facts = flat.where(F.lower("component_type").isin("gene", "protein") & (F.col("target_type") == "GO"))
     if terms is not None:
-        facts = facts.join(terms.select(F.col("name").alias("target_name"), F.col("id").alias("_id")), "target_name", "left")
+        known = terms.groupBy(F.col("name").alias("target_name")).agg(F.min("id").alias("_id"))
+        facts = facts.join(known, "target_name", "left")
         id_of = F.coalesce("target_id", "_id")
     facts = facts.withColumn("target_id", id_of).where("target_id is not null")
     a = accessions.groupBy(F.col("name").alias("component_name")).agg(F.min("accession").alias("uniprot_id"))
@@ -141,16 +151,21 @@ def valid_only(relations: DataFrame) -> DataFrame:
     return relations.where(F.coalesce("valid", F.lit(True)))
 
 
-def rebuilt(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, relations): the nested documents built again from the flat tables, as normal JSON with current names."""
+def rebuilt(docs: DataFrame, doc_id: str, text: str, rewritten: DataFrame | None = None) -> DataFrame:
+    """(doc_id, relations): the nested documents built again from the flat tables, as normal JSON with current names.
+
+    rewritten(doc_id, pre, rewritten) has JSON objects that take the place of entities with all that hangs on them.
+    """
     n = nested.nodes(docs, doc_id, text)
+    new = F.lit(None).cast("string").alias("rewritten") if rewritten is None else F.col("rewritten")
+    n = n if rewritten is None else n.join(rewritten.select("doc_id", "pre", "rewritten"), ["doc_id", "pre"], "left")
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(d, json.dumps(nest(rows), ensure_ascii=False)) for d, rows in zip(b["doc_id"], b["rows"])]
+            out = [(d, deepjson.dumps(nest(rows))) for d, rows in zip(b["doc_id"], b["rows"])]
             yield pd.DataFrame(out, columns=["doc_id", "relations"])
 
-    own = F.struct("pre", "parent", "kind", "role", "name", "type", "description", "id", "valid", "sentence")
+    own = F.struct("pre", "parent", "kind", "role", "name", "type", "description", "id", "valid", "sentence", new)
     return n.groupBy("doc_id").agg(F.array_sort(F.collect_list(own)).alias("rows")).mapInPandas(each, "doc_id bigint, relations string")
 
 
@@ -170,20 +185,51 @@ def nest(rows: list) -> list:
             if r["valid"] is not None:
                 made[pre]["valid"] = bool(r["valid"])
             made[parent]["rel_from_this_sent"].append(made[pre])
-        else:
-            made[pre] = {**{k: r[k] for k in ("name", "type", "description", "id") if r[k] is not None}, "meta": []}
-            made[parent]["meta" if kinds[parent] == "entity" else plural[r["role"]]].append(made[pre])
+        elif parent in made:
+            own = {**{k: r[k] for k in ("name", "type", "description", "id") if r[k] is not None}, "meta": []}
+            new = read_json(r["rewritten"])
+            made[parent]["meta" if kinds[parent] == "entity" else plural[r["role"]]].append(new if isinstance(new, dict) else own)
+            if not isinstance(new, dict):  # what hangs on a rewritten entity is gone with it
+                made[pre] = own
     return blocks
 
 
 def without_descriptions(value: object) -> object:
-    """A JSON value without any description."""
-    if isinstance(value, dict):
-        return {k: without_descriptions(v) for k, v in value.items() if k != "description"}
-    return [without_descriptions(v) for v in value] if isinstance(value, list) else value
+    """A JSON value with every description taken out of it."""
+    todo = [value]
+    while todo:
+        v = todo.pop()
+        if isinstance(v, dict):
+            v.pop("description", None)
+            todo += v.values()
+        elif isinstance(v, list):
+            todo += v
+    return value
 
 
 def chosen_keys(value: dict, keys: list[str]) -> dict:
     """The chosen keys of a relation, or all of it if it has none of them."""
     kept = {k: v for k, v in value.items() if k in keys}
     return kept or value
+
+
+def stripped(column: Column | str) -> Column:
+    """JSON texts without descriptions at any depth; null if unreadable."""
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            yield b.map(lambda t: dump_json(without_descriptions(read_json(t))), na_action="ignore")
+
+    return run(column)
+
+
+def subset(column: Column | str, keys: list[str]) -> Column:
+    """JSON objects with the chosen keys alone, or whole if they have none of them; null if unreadable or no object."""
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            yield b.map(lambda t: dump_json(chosen_keys(v, keys)) if isinstance(v := read_json(t), dict) else None, na_action="ignore")
+
+    return run(column)

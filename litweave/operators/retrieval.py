@@ -1,7 +1,7 @@
 """Hybrid retrieval: exact dense recall, sparse scores, weighted fusion, token search.
 
-Dense recall compares a set of queries with the whole index in blocks: QUERY_BLOCK queries at a time go to the tasks as one
-matrix, each task keeps its best k per query while it reads its part of the index once, and only these are shuffled. Sparse
+Dense recall compares a set of queries with the whole index in blocks: at most QUERY_BLOCK queries at a time, fewer where k is large, so that
+queries times kept and new scores stay below CELLS, go to the tasks as one matrix, each task keeps its best k per query while it reads its part of the index once, and only these are shuffled. Sparse
 and token scores are equi-joins on tokens with sums that combine before the shuffle. Every ranking is total: ties by id.
 
 Defined results: null vectors and vectors of another length than the query's score nothing; null texts have no token; scores are
@@ -17,29 +17,42 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from litweave.session import cut
+
 QUERY_BLOCK = 20_000
+CELLS = 8 << 20
+PART = 2048
+
 
+def dense_recall(queries: DataFrame, index: DataFrame, query_id: str, doc_id: str, query_vector: str, doc_vector: str, k: int, score_as: str = "dot") -> DataFrame:
+    """(query_id, doc_id, score) of the k documents with the largest score for each query.
 
-def dense_recall(queries: DataFrame, index: DataFrame, query_id: str, doc_id: str, query_vector: str, doc_vector: str, k: int) -> DataFrame:
-    """(query_id, doc_id, score) of the k documents with the largest dot product for each query."""
+    score_as: dot (the dot product as it is), or cosine01 ((1 + cosine) / 2, as search engines give it for normalised vectors;
+    a vector of zeros has cosine 0).
+    """
+    if score_as not in ("dot", "cosine01"):
+        raise ValueError(score_as)
+    unit = score_as == "cosine01"
     q = queries.select(F.col(query_id).cast("bigint").alias("q"), F.col(query_vector).alias("v")).dropna()
-    blocks = max(1, -(-q.count() // QUERY_BLOCK))
+    blocks = max(1, -(-q.count() // max(1, min(QUERY_BLOCK, CELLS // (k + PART)))))
     parts = []
     for b in range(blocks):
         block = q.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b).toPandas()
         ids = block["q"].to_numpy(np.int64)
         matrix = np.array(block["v"].tolist(), np.float64) if len(block) else np.zeros((0, 0))
+        matrix = of_length_one(matrix) if unit and matrix.size else matrix
 
         def each(batches: Iterator[pd.DataFrame], ids: np.ndarray = ids, matrix: np.ndarray = matrix) -> Iterator[pd.DataFrame]:
             score = np.full((len(ids), 0), -np.inf)
             doc = np.zeros((len(ids), 0), np.int64)
             for batch in batches:
-                for at in range(0, len(batch), 2048):
-                    part = batch.iloc[at : at + 2048]
+                for at in range(0, len(batch), PART):
+                    part = batch.iloc[at : at + PART]
                     part = part[[v is not None and matrix.ndim == 2 and len(v) == matrix.shape[1] for v in part["v"]]]
                     if not len(part) or not len(ids):
                         continue
-                    new = matrix @ np.array(part["v"].tolist(), np.float64).T
+                    given = np.array(part["v"].tolist(), np.float64)
+                    new = (1 + matrix @ of_length_one(given).T) / 2 if unit else matrix @ given.T
                     score = np.concatenate([score, new], 1)
                     doc = np.concatenate([doc, np.broadcast_to(part["d"].to_numpy(np.int64), new.shape)], 1)
                     if score.shape[1] > k:
@@ -57,6 +70,11 @@ def dense_recall(queries: DataFrame, index: DataFrame, query_id: str, doc_id: st
     return top_k(out, ["q"], k, F.col("score").desc(), F.col("d")).select(F.col("q").alias(query_id), F.col("d").alias(doc_id), "score")
 
 
+def of_length_one(rows: np.ndarray) -> np.ndarray:
+    n = np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.where(n == 0, 1, n)
+
+
 def top_k(rows: DataFrame, keys: list[str], k: int, *order: Column) -> DataFrame:
     """The first k rows per key with their rank; the limit is pushed below the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -90,12 +108,18 @@ def fuse(hits: DataFrame, query_id: str, doc_id: str, w_dense: float = 0.5, w_sp
     return scored
 
 
-def hybrid_search(queries: DataFrame, index: DataFrame, query_sparse: DataFrame, index_sparse: DataFrame, query_id: str, doc_id: str, vector: str, k: int = 10, recall: int = 200, w_dense: float = 0.5, w_sparse: float = 0.5, digits: int | None = None) -> DataFrame:
-    """Dense recall, sparse scores of what was recalled, fusion, and the best k of each query."""
-    dense = dense_recall(queries, index, query_id, doc_id, vector, vector, recall).withColumnRenamed("score", "dense")
-    sparse = sparse_scores(query_sparse, index_sparse, query_id, doc_id)
+def hybrid_search(queries: DataFrame, index: DataFrame, query_sparse: DataFrame, index_sparse: DataFrame, query_id: str, doc_id: str, vector: str, k: int = 10, recall: int = 200, w_dense: float = 0.5, w_sparse: float = 0.5, digits: int | None = None, score_as: str = "dot", source: list[str] | None = None) -> DataFrame:
+    """Dense recall, sparse scores of what was recalled, fusion, and the best k of each query, with the index columns in `source`.
+
+    Only pairs that were recalled are scored: the tokens of their queries are looked up in their documents.
+    """
+    dense = cut(dense_recall(queries, index, query_id, doc_id, vector, vector, recall, score_as).withColumnRenamed("score", "dense"))
+    asked = dense.select(query_id, doc_id).join(query_sparse.select(query_id, "token", F.col("weight").alias("wq")), query_id)
+    met = asked.join(index_sparse.select(doc_id, "token", F.col("weight").alias("wd")), [doc_id, "token"])
+    sparse = met.groupBy(query_id, doc_id).agg(F.sum(F.col("wq") * F.col("wd")).alias("sparse"))
     hits = dense.join(sparse, [query_id, doc_id], "left").fillna({"sparse": 0.0})
-    return fuse(hits, query_id, doc_id, w_dense, w_sparse, digits).where(F.col("rank") <= k)
+    best = fuse(hits, query_id, doc_id, w_dense, w_sparse, digits).where(F.col("rank") <= k)
+    return best.join(index.select(doc_id, *source), doc_id) if source else best
 
 
 def tokens(rows: DataFrame, row_id: str, text: str, *keep: str) -> DataFrame:
@@ -144,12 +168,14 @@ def fuzzy_search(queries: DataFrame, index: DataFrame, query_id: str, query: str
 
 
 def _near_keys(word: Column) -> Column:
-    """Keys of which two words within the allowed distance share one: of a word of six or more letters at least a pair of letters
-    stays unchanged under two edits; shorter words share a form with one letter left out."""
-    n = F.length(word)
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(word, i, 2))
-    left_out = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.lit("-"), F.left(word, i - 1), F.substr(word, i + 1)))
-    return F.array_distinct(F.when(n <= 6, F.concat(left_out, F.array(F.concat(F.lit("-"), word)), pairs)).otherwise(pairs))
+    """The word and what is left of it without one letter, and without two if it has more than five: two words within the distance allowed share one."""
+
+    def left_out(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))), lambda i: F.concat(F.left(w, i - 1), F.substr(w, i + 1)))
+
+    one = left_out(word)
+    two = F.flatten(F.transform(F.array_distinct(one), left_out))
+    return F.array_distinct(F.concat(F.array(word), one, F.when(F.length(word) > 3, two).otherwise(F.array().cast("array<string>"))))
 
 
 def index_text(label: Column, synonyms: Column) -> Column:

@@ -61,6 +61,13 @@ def candidates(found: DataFrame, ontology: Ontology, search: Search) -> DataFram
     return asked.join(listed, "query_id", "left").select("doc_id", "name", "description", "species", F.coalesce("hits", F.array().cast(HITS)).alias("hits"))
 
 
+def decomposed(docs: DataFrame, doc_id: str, text: str, factory: Callable[[], models.Client] = models.StubClient, types: tuple[str, ...] = ("GO", "cell_type")) -> DataFrame:
+    """(doc_id, relations): the documents with the entities of the types, those in meta aside, put as the model splits them."""
+    top = relations.mentions(docs, doc_id, text).where("level = 0").select("doc_id", "pre", "name", "type")
+    split = models.decomposed(top, factory, types).where("rewritten is not null")
+    return relations.rebuilt(docs, doc_id, text, split)
+
+
 def chosen(offers: DataFrame, ontology: Ontology, factory: Callable[[], models.Client] = models.StubClient) -> DataFrame:
     """(doc_id, ontology, name, species, best_id, best_name, rank, status)."""
     j = models.judged(offers, factory, ontology.judge)
@@ -80,14 +87,15 @@ class Conversion:
 def resolve(found: DataFrame, ontologies: list[Ontology], searches: dict[str, Search], conversions: list[Conversion] = (), factory: Callable[[], models.Client] = models.StubClient) -> tuple[DataFrame, DataFrame]:
     """(resolved mentions, choices). Mentions of an ontology's types without a choice are dropped, all others kept."""
     by_name = {o.name: o for o in ontologies}
-    offers = {o.name: cut(candidates(found, o, searches[o.name])) for o in ontologies}
+    shown = cut(relations.examples(found))
+    offers = {o.name: cut(candidates(found, o, searches[o.name]).join(shown, ["doc_id", "name"], "left")) for o in ontologies}
     choices = {o.name: cut(chosen(offers[o.name], o, factory)) for o in ontologies}
     for c in conversions:
         pending = choices[c.source].where("best_id is null").select("doc_id", "name", "species")
         target = by_name[c.target]
         again = found.where(F.col("type").isin(list(by_name[c.source].types))).withColumn("type", F.lit(target.types[0]))
         again = again.join(pending.select("doc_id", "name").distinct(), ["doc_id", "name"], "left_semi")
-        more = cut(chosen(candidates(again, target, searches[c.target]), target, factory))
+        more = cut(chosen(candidates(again, target, searches[c.target]).join(shown, ["doc_id", "name"], "left"), target, factory))
         success = more.where("best_id is not null")
         found = relational.retype(found, success, ["doc_id", "name"], "type", c.new_type)
         choices[c.target] = cut(choices[c.target].unionByName(success))

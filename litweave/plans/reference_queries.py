@@ -513,7 +513,8 @@ def flatten_relations(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def process_facts(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "uniprot_ref").select(F.col("gene_symbol").alias("name"), "accession")
-    return relations.process_facts(flatten_relations(spark, d), a)
+    terms = table(spark, d, "go_ref").select("name", F.col("go_id").alias("id"))
+    return relations.process_facts(flatten_relations(spark, d), a, terms)
 
 
 @query()
@@ -783,7 +784,7 @@ def decompose_stub(spark: SparkSession, d: str) -> DataFrame:
 def validate_stub(spark: SparkSession, d: str) -> DataFrame:
     from litweave.operators import nested
 
-    n = nested.nodes(table(spark, d, "merged"), "merged_id", "relations")
+    n = cut(nested.nodes(table(spark, d, "merged"), "merged_id", "relations"))  # one walk for both tables
     r = nested.relations(n).select("doc_id", "sentence_pre", "block_no", "rel_no", F.col("name").alias("claim"))
     s = nested.sentences(n).select("doc_id", F.col("pre").alias("sentence_pre"), "sentence")
     return models.checked(r.join(s, ["doc_id", "sentence_pre"])).select("doc_id", "block_no", "rel_no", "valid")

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import json
-import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
-from importlib import resources
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
+from litweave.functions.prompts import prompt  # noqa: F401  prompts are sources too
 from litweave.operators.models import RateLimiter, retried
 from litweave.session import new_path, remove, rename
 
@@ -201,10 +200,3 @@ def relation_classes(spark: SparkSession, k: int = 10) -> DataFrame:
     """The first k classes in their order, as search hits: id, name, description, rank."""
     rows = [(i + 1, *c) for i, c in enumerate(CPR)]
     return spark.createDataFrame(rows, "rank int, id string, name string, description string").where(F.col("rank") <= k)
-
-
-def prompt(name: str) -> str:
-    """A prompt of the package by folder and file."""
-    if not re.fullmatch(r"[\w-]+(?:/[\w-]+)*\.txt", name):
-        raise ValueError(name)
-    return (resources.files("litweave") / "prompts" / name).read_text(encoding="utf-8")

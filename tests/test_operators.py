@@ -335,3 +335,56 @@ def test_species_tables(spark):
     assert sorted((r["name"], r["block_no"], r["rel_no"]) for r in e.collect()) == [("HeLa", 0, 0), ("p", 0, 0)]
     assert relations.relation_names(docs, "doc", "text").count() == 0
     assert relations.without_descriptions({"description": "x", "meta": [{"description": "y", "name": "n"}]}) == {"meta": [{"name": "n"}]}
+
+
+class Recording:
+    """Keeps what it is asked in a file, as it runs in other processes."""
+
+    def __init__(self, path, answer):
+        self.path, self.answer = path, answer
+
+    def query(self, prompt):
+        with open(self.path, "a") as f:
+            f.write(json.dumps(prompt) + "\n")
+        return self.answer
+
+
+def test_each_policy_has_its_prompt(spark, tmp_path):
+    rows = spark.createDataFrame([("x", "d", [("A1", "x", None)], "used here")], "name string, description string, hits array<struct<id string, name string, description string>>, example string")
+    asked = {}
+    for method in ("strict", "relaxed", "forced"):
+        path = str(tmp_path / method)
+        models.judged(rows, lambda path=path: Recording(path, "A1"), method).collect()
+        asked[method] = json.loads(open(path).readline())
+    assert len(set(asked.values())) == 3 and "PARENT:" in asked["relaxed"] and all("used here" in p for p in asked.values())
+    claims = spark.createDataFrame([("A binds B", "binds B")], "sentence string, claim string")
+    for method in ("strict", "loose"):
+        path = str(tmp_path / f"v{method}")
+        models.checked(claims, lambda path=path: Recording(path, "Yes"), method).collect()
+        asked[method] = json.loads(open(path).readline())
+    assert asked["strict"] != asked["loose"]
+
+
+def test_decomposition_is_applied(spark):
+    doc = [{"sentence": "s", "rel_from_this_sent": [{"components": [{"name": "repair of DNA", "type": "GO", "meta": [{"name": "m"}]}, "x"], "targets": [{"name": "y of z", "type": "gene"}], "relation": "r"}]}]
+    docs = spark.createDataFrame([(1, json.dumps(doc)), (2, "broken [")], "doc bigint, text string")
+    out = stages.decomposed(docs, "doc", "text").collect()
+    rel = json.loads(out[0]["relations"])[0]["rel_from_this_sent"][0]
+    assert len(out) == 1 and [e["name"] for e in rel["components"]] == ["DNA", "x"] and rel["components"][0]["meta"][0]["name"] == "repair"
+    assert rel["targets"][0]["name"] == "y of z"
+
+
+def test_json_columns(spark):
+    df = spark.createDataFrame([('{"a": 1, "b": {"description": 2, "c": [{"description": 3}]}}',), ('{"x": 1}',), ("bad",), (None,)], "t string")
+    got = [tuple(r) for r in df.select(relations.stripped("t"), relations.subset("t", ["a"])).collect()]
+    assert got == [('{"a": 1, "b": {"c": [{}]}}', '{"a": 1}'), ('{"x": 1}', '{"x": 1}'), (None, None), (None, None)]
+
+
+def test_cosine_scores_and_source_columns(spark):
+    rows = spark.createDataFrame([(0, [1.0, 0.0], "a"), (1, [2.0, 0.0], "b"), (2, [0.0, 3.0], "c"), (3, [0.0, 0.0], "d"), (4, None, "e")], "i bigint, v array<double>, name string")
+    q = rows.where("i = 0").select(F.col("i").alias("q"), "v")
+    got = {r["i"]: r["score"] for r in retrieval.dense_recall(q, rows, "q", "i", "v", "v", 5, "cosine01").collect()}
+    assert got == {0: 1.0, 1: 1.0, 2: 0.5, 3: 0.5}
+    w = spark.createDataFrame([(0, 1, 1.0), (2, 1, 2.0)], "i bigint, token int, weight double")
+    hits = retrieval.hybrid_search(q, rows, w.where("i = 0").withColumnRenamed("i", "q"), w, "q", "i", "v", k=2, source=["name"])
+    assert {r["name"] for r in hits.collect()} == {"a", "b"}  # all three have 0.5, ids decide
