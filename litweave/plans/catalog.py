@@ -1,7 +1,7 @@
 """All queries of the core and their SQL."""
 
-from litweave.plans import record_queries, reference_queries
+from litweave.plans import format_queries, record_queries, reference_queries
 
 FLAGSHIP = "best_protein_per_gene"
-QUERIES = {**record_queries.QUERIES, **reference_queries.QUERIES}
-ORACLE = {**record_queries.ORACLE, **reference_queries.ORACLE}
+QUERIES = {**record_queries.QUERIES, **reference_queries.QUERIES, **format_queries.QUERIES}
+ORACLE = {**record_queries.ORACLE, **reference_queries.ORACLE, **format_queries.ORACLE}

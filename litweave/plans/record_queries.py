@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litweave.operators import compaction, hierarchy, nested, orphans
+from litweave.plans import nested_sql
 from litweave.session import table
 
 
@@ -128,7 +129,19 @@ t AS (
   UNION ALL
   SELECT e.c, t.root, t.depth + 1, t.path || '/' || e.c FROM t JOIN e ON e.p = t.node)
 """
+_P6_ALL = """
+WITH RECURSIVE e AS (SELECT DISTINCT upper(trim(child)) AS c, upper(trim(parent)) AS p FROM relation_table),
+up AS (SELECT c AS node, p AS above FROM e UNION SELECT up.node, e.p FROM up JOIN e ON e.c = up.above),
+cyc AS (SELECT node FROM up WHERE above = node),
+out AS (SELECT DISTINCT node FROM up WHERE above IN (SELECT node FROM cyc) OR node IN (SELECT node FROM cyc)),
+t AS (SELECT c AS descendant, p AS node, 1 AS distance FROM e WHERE c NOT IN (SELECT node FROM out)
+  UNION SELECT t.descendant, e.p, t.distance + 1 FROM t JOIN e ON e.c = t.node)
+"""
 ORACLE = {
+    "p2_found": nested_sql.FOUND, "p2_sentences": nested_sql.SENTENCES, "p2_relations": nested_sql.RELATIONS, "p2_entities": nested_sql.ENTITIES,
+    "p6_parents": _P6_ALL + "SELECT c AS node, p AS up FROM e WHERE p <> (SELECT min(x.p) FROM e x WHERE x.c = e.c)",
+    "p6_cycles": _P6_ALL + "SELECT node FROM out",
+    "p6_descendants": _P6_ALL + "SELECT node, descendant, CAST(min(distance) AS INTEGER) AS distance FROM t GROUP BY 1, 2",
     "p1_found": _P1 + "SELECT src, row_id, strftime(ts, '%Y-%m') AS period FROM orphan",
     "p1_report": _P1 + "SELECT src, strftime(ts, '%Y-%m') AS period, count(*) AS orphan_rows, count(DISTINCT k) AS orphan_keys FROM orphan GROUP BY 1, 2",
     "p1_epochs": _P1 + """,

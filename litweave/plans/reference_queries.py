@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from litweave.functions import text as T
 from litweave.operators import graph, matching, metrics, models, relational, relations, retrieval, stages
 from litweave.operators.orphans import base_accession, key_form
+from litweave.plans import nested_sql
 from litweave.session import cut, new_path, table
 from litweave.sources import store
 from litweave.streaming import queues
@@ -325,10 +326,10 @@ part AS (SELECT l.query, p.value FROM left2 l JOIN parts p ON p.phrase = l.query
 left3 AS (SELECT * FROM left2 WHERE query NOT IN (SELECT query FROM part)),
 pieces AS (SELECT o.query, p.value FROM {_runs("left3", "query")} o JOIN parts p ON p.phrase = o.phrase),
 left4 AS (SELECT * FROM left3 WHERE query NOT IN (SELECT query FROM pieces)),
-pre AS (SELECT DISTINCT substr(name, 1, n) AS affix FROM ref, range(1, 65) r(n) WHERE n <= length(name)),
-suf AS (SELECT DISTINCT right(name, n) AS affix FROM ref, range(1, 65) r(n) WHERE n <= length(name)),
-bpre AS (SELECT query, max_by(affix, length(affix)) AS affix FROM (SELECT l.query, substr(l.name, 1, n) AS affix FROM left4 l, range(1, 65) r(n) WHERE n <= length(l.name)) WHERE affix IN (SELECT affix FROM pre) GROUP BY 1),
-bsuf AS (SELECT query, max_by(affix, length(affix)) AS affix FROM (SELECT l.query, right(l.name, n) AS affix FROM left4 l, range(1, 65) r(n) WHERE n <= length(l.name)) WHERE affix IN (SELECT affix FROM suf) GROUP BY 1)
+pre AS (SELECT DISTINCT substr(name, 1, n) AS affix FROM ref, (SELECT unnest(range(1, (SELECT max(length(name)) + 1 FROM ref))) AS n) r WHERE n <= length(name)),
+suf AS (SELECT DISTINCT right(name, n) AS affix FROM ref, (SELECT unnest(range(1, (SELECT max(length(name)) + 1 FROM ref))) AS n) r WHERE n <= length(name)),
+bpre AS (SELECT query, max_by(affix, length(affix)) AS affix FROM (SELECT l.query, substr(l.name, 1, n) AS affix FROM left4 l, (SELECT unnest(range(1, (SELECT max(length(name)) + 1 FROM ref))) AS n) r WHERE n <= length(l.name)) WHERE affix IN (SELECT affix FROM pre) GROUP BY 1),
+bsuf AS (SELECT query, max_by(affix, length(affix)) AS affix FROM (SELECT l.query, right(l.name, n) AS affix FROM left4 l, (SELECT unnest(range(1, (SELECT max(length(name)) + 1 FROM ref))) AS n) r WHERE n <= length(l.name)) WHERE affix IN (SELECT affix FROM suf) GROUP BY 1)
 SELECT query, strategy, count(*) AS n_values, min(value) AS first_value, max(value) AS last_value FROM (
 SELECT query, 'exact' AS strategy, value FROM exact UNION ALL SELECT query, 'ngram', value FROM ngram UNION ALL SELECT query, 'part', value FROM part
 UNION ALL SELECT query, 'parts', value FROM pieces
@@ -343,6 +344,34 @@ def match_all(spark: SparkSession, d: str) -> DataFrame:
     return m.groupBy("query", "strategy").agg(F.count("*").alias("n_values"), F.min("value").alias("first_value"), F.max("value").alias("last_value"))
 
 
+def _by_strategy(spark: SparkSession, d: str, *strategies: str) -> DataFrame:
+    m = matching.match(table(spark, d, "uniprot_match"), "original_name", table(spark, d, "uniprot_ref"), "protein_name", "accession")
+    return m.where(F.col("strategy").isin(*strategies)).select("query", "value")
+
+
+_STEPS = _MATCH[: _MATCH.rindex("SELECT query, strategy, count(*)")]
+
+
+@query(_STEPS + "SELECT query, value FROM ngram")
+def match_ngram_longest(spark: SparkSession, d: str) -> DataFrame:
+    return _by_strategy(spark, d, "ngram")
+
+
+@query(_STEPS + "SELECT query, value FROM part UNION ALL SELECT query, value FROM pieces")
+def match_expanded(spark: SparkSession, d: str) -> DataFrame:
+    return _by_strategy(spark, d, "part", "parts")
+
+
+@query(_STEPS + "SELECT b.query, ref.value FROM bpre b JOIN ref ON starts_with(ref.name, b.affix)")
+def match_prefix(spark: SparkSession, d: str) -> DataFrame:
+    return _by_strategy(spark, d, "prefix")
+
+
+@query(_STEPS + "SELECT b.query, ref.value FROM bsuf b JOIN ref ON ends_with(ref.name, b.affix)")
+def match_suffix(spark: SparkSession, d: str) -> DataFrame:
+    return _by_strategy(spark, d, "suffix")
+
+
 @query(f"WITH {_REF}, {_ASK}, {_EXACT} SELECT query, value FROM exact")
 def match_exact(spark: SparkSession, d: str) -> DataFrame:
     ref = matching.reference_names(table(spark, d, "uniprot_ref"), "protein_name", "accession")
@@ -505,31 +534,31 @@ def cross_components_targets(spark: SparkSession, d: str) -> DataFrame:
     return per.withColumn("component", F.explode("c")).withColumn("target", F.explode("t")).select("l_orderkey", "component", "target")
 
 
-@query()
+@query(nested_sql.FLAT)
 def flatten_relations(spark: SparkSession, d: str) -> DataFrame:
     return relations.flattened(table(spark, d, "merged"), "merged_id", "relations")
 
 
-@query()
+@query(nested_sql.FACTS)
 def process_facts(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "uniprot_ref").select(F.col("gene_symbol").alias("name"), "accession")
     terms = table(spark, d, "go_ref").select("name", F.col("go_id").alias("id"))
     return relations.process_facts(flatten_relations(spark, d), a, terms)
 
 
-@query()
+@query(nested_sql.SPECIES)
 def species_priority(spark: SparkSession, d: str) -> DataFrame:
     m = cut(relations.mentions(table(spark, d, "merged"), "merged_id", "relations"))
     return relations.with_species(m).select("doc_id", "pre", "name", "type", "species")
 
 
-@query()
+@query(nested_sql.COLLECTED)
 def collected_entities(spark: SparkSession, d: str) -> DataFrame:
     m = relations.mentions(table(spark, d, "merged"), "merged_id", "relations")
     return relational.longest_per_key(relations.collected(m, ["gene", "protein"]).select(F.struct("doc_id", "name").alias("k"), "description"), "k", "description", "description").select("k.doc_id", "k.name", "description")
 
 
-@query()
+@query(nested_sql.APPLIED)
 def apply_mapping_drop(spark: SparkSession, d: str) -> DataFrame:
     m = cut(relations.mentions(table(spark, d, "merged"), "merged_id", "relations"))
     go = table(spark, d, "go_ref").select(F.col("name").alias("n"), F.col("go_id").alias("best_id"), F.col("name").alias("best_name"))
@@ -545,7 +574,7 @@ def nested_rebuild(spark: SparkSession, d: str) -> DataFrame:
     return relations.rebuilt(table(spark, d, "merged"), "merged_id", "relations")
 
 
-@query()
+@query(nested_sql.VALID)
 def valid_filter(spark: SparkSession, d: str) -> DataFrame:
     from litweave.operators import nested
 
@@ -624,7 +653,7 @@ def _term_edges(spark: SparkSession, d: str) -> DataFrame:
     """The terms' hierarchy as their names tell it."""
     name = F.col("name")
     signed = name.startswith("positive regulation") | name.startswith("negative regulation")
-    above = F.when(signed, F.substring(name, 10, 1000)).when(name.startswith("regulation of "), F.substring(name, 15, 1000))
+    above = F.when(signed, F.substr(name, F.lit(10))).when(name.startswith("regulation of "), F.substr(name, F.lit(15)))
     t = table(spark, d, "go_ref").select(F.col("go_id").alias("u"), "name", above.alias("above"))
     return t.select("u", F.col("above").alias("name")).join(t.select("name", F.col("u").alias("v")), "name").select("u", "v", F.lit("is_a").alias("relation"))
 
@@ -684,12 +713,16 @@ def newline_flatten(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pubmed_abs").select("pmid", T.one_line(F.col("abstract")).alias("line"))
 
 
-@query()
+@query(r"SELECT doc_id, regexp_replace(text, '[^\P{C}\n\r\t]', '', 'g') AS text FROM documents")
 def control_strip(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", T.printable(F.col("text")).alias("text"))
 
 
-@query()
+@query(r"""WITH w AS (SELECT match_id, unnest(list_distinct(regexp_split_to_array(lower(trim(species)), '[ \t\n\f\r\v]+'))) AS token FROM uniprot_match WHERE match_id % 20 = 0),
+n AS (SELECT organism AS id, unnest(string_split(lower(organism), ' ')) AS word, 3.0 AS boost FROM uniprot_ref UNION SELECT organism, unnest(string_split(lower(organism_common), ' ')), 1.0 FROM uniprot_ref),
+m AS (SELECT match_id, id, token, max(boost / (1 + levenshtein(token, word))) AS s FROM w JOIN n ON levenshtein(token, word) <= CASE WHEN length(token) <= 2 THEN 0 WHEN length(token) <= 5 THEN 1 ELSE 2 END WHERE token <> '' GROUP BY 1, 2, 3),
+r AS (SELECT match_id, id, sum(s) AS raw FROM m GROUP BY 1, 2)
+SELECT match_id, id, CAST(rank AS INTEGER) AS rank, round(CAST(score AS DOUBLE), 3) AS score FROM (SELECT match_id, id, raw / max(raw) OVER (PARTITION BY match_id) AS score, row_number() OVER (PARTITION BY match_id ORDER BY raw DESC, id) AS rank FROM r) WHERE rank <= 3""")
 def fuzzy_species(spark: SparkSession, d: str) -> DataFrame:
     """Species as entered against the organisms' names, with typing errors."""
     names = table(spark, d, "uniprot_ref").select("organism", "organism_common").distinct()
@@ -697,13 +730,13 @@ def fuzzy_species(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.fuzzy_search(asked, names.withColumn("id", F.col("organism")), "match_id", "species", "id", {"organism": 3.0, "organism_common": 1.0}, 3).select("match_id", "id", "rank", "score")
 
 
-@query()
+@query("WITH named AS (SELECT accession, " + _NORMAL.format("protein_name") + " AS name FROM uniprot_ref) SELECT accession, CAST(n AS INTEGER) AS n, phrase FROM " + _runs("named", "accession"))
 def sub_phrases(spark: SparkSession, d: str) -> DataFrame:
     names = table(spark, d, "uniprot_ref").select("accession", T.normal_name(F.col("protein_name")).alias("name"))
     return matching.runs(names, "name", None).select("accession", "n", "phrase")
 
 
-@query()
+@query("SELECT * FROM (VALUES " + ", ".join(f"({i + 1}, '{c}', '{n}', '{t}')" for i, (c, n, t) in enumerate(store.CPR)) + ") v(rank, id, name, description)")
 def relation_classes(spark: SparkSession, d: str) -> DataFrame:
     return store.relation_classes(spark)
 
@@ -737,6 +770,13 @@ def done_list_ordered(spark: SparkSession, d: str) -> DataFrame:
     return queues.done_in_order(_log(spark, d), "signup").withColumnRenamed("at", "done_at")
 
 
+@query(f"WITH {_READY}, two AS (SELECT item, max(ts) AS at_ FROM ev WHERE event_type IN ('click', 'view') GROUP BY 1 HAVING count(*) = 2) SELECT item, at_ AS queued_at FROM two WHERE item NOT IN (SELECT item FROM done)")
+def queue_pop_not_done(spark: SparkSession, d: str) -> DataFrame:
+    """Queued in both stages and not ended in the next."""
+    log = _log(spark, d).withColumn("event", F.when(F.col("stage").isin("click", "view"), "queued").otherwise(F.col("event")))
+    return queues.queued(log, ["click", "view"]).join(queues.ended(log, "error").select("item"), "item", "left_anti").withColumnRenamed("at", "queued_at")
+
+
 @query(f"WITH {_READY} SELECT item FROM ev WHERE event_type = 'click' AND item NOT IN (SELECT item FROM done)")
 def seed_from_done(spark: SparkSession, d: str) -> DataFrame:
     return queues.seed(_log(spark, d), "click", "error").select("item")
@@ -755,7 +795,10 @@ def stream_gate_equals_batch(spark: SparkSession, d: str) -> DataFrame:
 
 # --- models --------------------------------------------------------------------------------------------------------------------------
 
-@query()
+_JUDGED = "j AS (SELECT m.mapping_id, m.name, g.go_id AS best_id, CASE WHEN g.go_id IS NULL THEN 'empty' ELSE 'ok' END AS status FROM go_mapping m LEFT JOIN (SELECT name, min(go_id) AS go_id FROM go_ref GROUP BY 1) g ON g.name = m.name)"
+
+
+@query(f"WITH {_JUDGED} SELECT * FROM j")
 def llm_judge_stub(spark: SparkSession, d: str) -> DataFrame:
     hits = F.array_sort(F.collect_list(F.struct(F.col("go_id").alias("id"), "name", F.col("namespace").alias("description"))))
     offers = table(spark, d, "go_ref").groupBy("name").agg(hits.alias("hits"))
@@ -763,7 +806,8 @@ def llm_judge_stub(spark: SparkSession, d: str) -> DataFrame:
     return models.judged(names).select("mapping_id", "name", F.col("best.id").alias("best_id"), "status")
 
 
-@query()
+@query(f"""WITH {_JUDGED}, u AS (SELECT upper(gene_symbol) AS k, min(accession) AS accession FROM uniprot_ref GROUP BY 1)
+SELECT j.mapping_id, u.accession AS best_id FROM j LEFT JOIN u ON u.k = upper(trim(j.name)) WHERE j.best_id IS NULL AND j.name IS NOT NULL""")
 def convert_failed_stub(spark: SparkSession, d: str) -> DataFrame:
     """What the terms could not resolve is looked for among the proteins; what is found moves there."""
     judged = cut(llm_judge_stub(spark, d))

@@ -135,7 +135,7 @@ def write_bucketed(df: DataFrame, name: str, column: str, buckets: int) -> None:
 
 def write_abstracts(rows: DataFrame, path: str) -> None:
     """pmid and one-line content, tab-separated."""
-    rows.select("pmid", F.translate("abstract", "\r\n\t", "   ").alias("content")).write.mode("overwrite").csv(path, sep="\t", header=True, quote="", escape="")
+    rows.select("pmid", F.translate("abstract", "\r\n\t", "   ").alias("content")).write.mode("overwrite").csv(path, sep="\t", header=True, quote="", escape="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def read_folders(spark: SparkSession, root: str, name: str) -> DataFrame:
