@@ -36,10 +36,10 @@ def affixes(rows: DataFrame, column: str, end: bool, most_chars: int) -> DataFra
 
 def match(queries: DataFrame, query: str, reference: DataFrame, name: str, value: str) -> DataFrame:
     """(query, strategy, value), one row per matched value."""
-    ref = reference_names(reference, name, value)
+    ref = cut(reference_names(reference, name, value))  # normalised once for all strategies
     longest = ref.agg(F.max(F.size(F.split("name", " "))), F.max(F.length("name"))).first()
     most_words, most_chars = (max(1, n or 0) for n in longest)
-    q = queries.select(F.col(query).alias("query")).dropna().distinct().withColumn("name", normal_name(F.col("query")))
+    q = cut(queries.select(F.col(query).alias("query")).dropna().distinct().withColumn("name", normal_name(F.col("query"))))
     out = []
 
     def done(found: DataFrame, strategy: str) -> DataFrame:
@@ -47,14 +47,14 @@ def match(queries: DataFrame, query: str, reference: DataFrame, name: str, value
         out.append(found)
         return found.select("query").distinct()
 
-    left = cut(q.join(done(q.join(ref, "name"), "exact"), "query", "left_anti"))
+    left = q.join(done(q.join(ref, "name"), "exact"), "query", "left_anti")
     own = runs(left, "name", most_words).drop("name")
     names = ref.withColumnRenamed("name", "phrase")
     hits = own.join(names, "phrase")
     longest = hits.groupBy("query").agg(F.max("n").alias("n"))
-    left = cut(left.join(done(hits.join(longest, ["query", "n"]), "ngram"), "query", "left_anti"))
+    left = left.join(done(hits.join(longest, ["query", "n"]), "ngram"), "query", "left_anti")
     parts = runs(ref, "name", most_words).select("phrase", "value")
-    left = cut(left.join(done(left.join(parts, left["query"] == parts["phrase"]), "part"), "query", "left_anti"))
+    left = left.join(done(left.join(parts, left["query"] == parts["phrase"]), "part"), "query", "left_anti")
     own = runs(left, "name", most_words).drop("name")
     left = cut(left.join(done(own.join(parts, "phrase"), "parts"), "query", "left_anti"))
     for end in (False, True):

@@ -42,7 +42,7 @@ class StubClient:
         if "SPLIT:" in prompt:
             name = prompt.rpartition("SPLIT:")[2].strip()
             first, _, rest = name.partition(" of ")
-            return json.dumps({"name": rest, "type": "GO", "meta": [{"name": first, "type": "GO", "meta": []}]}) if rest else "None"
+            return json.dumps({"name": rest, "type": "GO", "meta": [{"name": first, "type": "GO", "meta": []}]}, ensure_ascii=False) if rest else "None"
         m = re.search(r"^- (\S+) \|", prompt, re.M)
         return m[1] if m else "NONE"
 

@@ -60,11 +60,21 @@ def _links(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(key_form("parent").alias("parent"), key_form("child").alias("child"))
 
 
-def _interpro(spark: SparkSession, d: str) -> DataFrame:
-    rows = _mapped(spark, d).where("db_name = 'InterPro'").select("uniprot_id", F.col("db_id").alias("ipr_id"))
-    rows = relational.rows_with_ids(rows, "uniprot_id", _genes(spark, d), "uniprot_id").distinct()
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of genes and families, once each, written once for the plans that need them several times: one scan, one pass of key forms."""
+    return cut(_mapped(spark, d).where(F.col("db_name").isin("GeneID", "InterPro")).distinct())
+
+
+def _genes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.where("db_name = 'GeneID'").select(F.col("db_id").alias("gene_id"), "uniprot_id")
+
+
+def _interpro(spark: SparkSession, d: str, pairs: DataFrame | None = None) -> DataFrame:
+    pairs = _pairs(spark, d) if pairs is None else pairs
+    rows = pairs.where("db_name = 'InterPro'").select("uniprot_id", F.col("db_id").alias("ipr_id"))
     kept = table(spark, d, "entry_table").where(F.col("type").isin(TYPES)).select(key_form("ipr_id").alias("ipr_id"))
-    return relational.without_children(relational.rows_with_ids(rows, "ipr_id", kept, "ipr_id"), "ipr_id", _links(spark, d), "child")
+    rows = relational.without_children(relational.rows_with_ids(rows, "ipr_id", kept, "ipr_id"), "ipr_id", _links(spark, d), "child")
+    return relational.rows_with_ids(rows, "uniprot_id", _genes_of(pairs), "uniprot_id")
 
 
 @query(f"WITH {_MAPPED}, {_GENES} SELECT gene_id, uniprot_id FROM genes")
@@ -88,9 +98,8 @@ def protein_interpro_terms(spark: SparkSession, d: str) -> DataFrame:
 SELECT uniprot_id, db_name, db_id FROM mapped WHERE db_name = 'PDB' AND uniprot_id IN (SELECT uniprot_id FROM genes)
 UNION ALL SELECT uniprot_id, db_name, db_id FROM mapped WHERE db_name = 'RefSeq' AND uniprot_id IN (SELECT uniprot_id FROM genes)""")
 def enrich_union_semi(spark: SparkSession, d: str) -> DataFrame:
-    m, genes = _mapped(spark, d), _genes(spark, d)
-    branches = [relational.rows_with_ids(m.where(F.col("db_name") == b), "uniprot_id", genes, "uniprot_id") for b in ("PDB", "RefSeq")]
-    return relational.union_branches(*branches).select("uniprot_id", "db_name", "db_id")
+    rows = _mapped(spark, d).where(F.col("db_name").isin("PDB", "RefSeq"))  # both branches in one scan and one join
+    return relational.rows_with_ids(rows, "uniprot_id", _genes(spark, d), "uniprot_id").select("uniprot_id", "db_name", "db_id")
 
 
 @query(f"""WITH {_MAPPED} SELECT DISTINCT m.uniprot_id, m.db_id AS go_id FROM mapped m
@@ -108,20 +117,23 @@ best AS (SELECT gene_id, uniprot_id, ipr_count FROM (SELECT *, row_number() OVER
   ORDER BY CASE WHEN uniprot_id LIKE 'P%' THEN 0 ELSE 1 END, ipr_count DESC, uniprot_id) AS rn FROM c) WHERE rn = 1)"""
 
 
-def _best_protein(spark: SparkSession, d: str) -> DataFrame:
-    n = _interpro(spark, d).groupBy("uniprot_id").agg(F.countDistinct("ipr_id").alias("ipr_count"))
-    c = relational.filled_count(_genes(spark, d), n, "uniprot_id", "ipr_count").select("gene_id", "uniprot_id", "ipr_count")
+def _best_protein(pairs: DataFrame, terms: DataFrame) -> DataFrame:
+    n = terms.groupBy("uniprot_id").agg(F.count("*").alias("ipr_count"))  # each protein and term stands once
+    c = relational.filled_count(_genes_of(pairs), n, "uniprot_id", "ipr_count").select("gene_id", "uniprot_id", "ipr_count")
     return relational.best_per_key(c, ["gene_id"], ~F.col("uniprot_id").startswith("P"), -F.col("ipr_count"), F.col("uniprot_id"))
 
 
 @query(_BEST + " SELECT gene_id, uniprot_id, ipr_count FROM best")
 def best_protein_per_gene(spark: SparkSession, d: str) -> DataFrame:
-    return _best_protein(spark, d)
+    pairs = _pairs(spark, d)
+    return _best_protein(pairs, _interpro(spark, d, pairs))
 
 
 @query(_BEST + " SELECT b.gene_id, b.uniprot_id, i.ipr_id FROM best b JOIN ipr i ON i.uniprot_id = b.uniprot_id")
 def best_protein_with_terms(spark: SparkSession, d: str) -> DataFrame:
-    return _best_protein(spark, d).join(_interpro(spark, d), "uniprot_id").select("gene_id", "uniprot_id", "ipr_id")
+    pairs = _pairs(spark, d)
+    terms = cut(_interpro(spark, d, pairs))
+    return _best_protein(pairs, terms).join(terms, "uniprot_id").select("gene_id", "uniprot_id", "ipr_id")
 
 
 @query("""SELECT l_partkey, l_suppkey, n_rows FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY CASE WHEN first_flag = 'N' THEN 0 ELSE 1 END, n_rows DESC, l_suppkey) AS rn
@@ -818,13 +830,15 @@ def convert_failed_stub(spark: SparkSession, d: str) -> DataFrame:
     return still.select("mapping_id", F.lit(None).cast("string").alias("best_id")).unionByName(moved.select("mapping_id", F.col("best_id")))
 
 
-@query()
+@query("""WITH n AS (SELECT mapping_id, name, trim(name, chr(9) || chr(10) || chr(13) || ' ' || chr(160) || chr(8203)) AS t FROM go_mapping), p AS (SELECT *, strpos(t, ' of ') AS i FROM n)
+SELECT mapping_id, name, CASE WHEN trim(name) <> '' AND i > 0 AND substr(t, i + 4) <> '' THEN '{"name": ' || CAST(to_json(substr(t, i + 4)) AS VARCHAR) || ', "type": "GO", "meta": [{"name": ' || CAST(to_json(left(t, i - 1)) AS VARCHAR) || ', "type": "GO", "meta": []}]}' END AS rewritten FROM p""")
 def decompose_stub(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "go_mapping").select("mapping_id", "name", F.lit("GO").alias("type"))
     return models.decomposed(rows).select("mapping_id", "name", "rewritten")
 
 
-@query()
+@query(nested_sql.WITH + r"""SELECT r.merged_id AS doc_id, r.block_no, r.rel_no, list_has_all(regexp_extract_all(lower(s.sentence), '[\p{L}\p{N}_]+'), regexp_extract_all(lower(r.name), '[\p{L}\p{N}_]+')) AS valid
+FROM node r JOIN node s ON s.kind = 'sentence' AND s.merged_id = r.merged_id AND s.block_no = r.block_no WHERE r.kind = 'relation'""")
 def validate_stub(spark: SparkSession, d: str) -> DataFrame:
     from litweave.operators import nested
 

@@ -71,6 +71,19 @@ def seed(log: DataFrame, source: str, stage: str) -> DataFrame:
     return event(ended(log, source).join(known, "item", "left_anti"), stage, "queued")
 
 
+def digest(*columns: str) -> Column:
+    """What an item's input is told by: a digest of its columns, nulls included."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+
+def changed(items: DataFrame, before: DataFrame) -> DataFrame:
+    """items(item, digest, ...) that were not done with this very input; before(item, digest) is what was done.
+
+    An item whose input is another than last time is done again, one with the same input is skipped, null items are ignored.
+    """
+    return items.dropna(subset=["item"]).join(before.select("item", "digest").distinct(), ["item", "digest"], "left_anti")
+
+
 @dataclass(frozen=True)
 class Stage:
     """A stage of the dataflow: run(items) returns (item, ok, ...) for each item."""

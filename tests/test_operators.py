@@ -388,3 +388,10 @@ def test_cosine_scores_and_source_columns(spark):
     w = spark.createDataFrame([(0, 1, 1.0), (2, 1, 2.0)], "i bigint, token int, weight double")
     hits = retrieval.hybrid_search(q, rows, w.where("i = 0").withColumnRenamed("i", "q"), w, "q", "i", "v", k=2, source=["name"])
     assert {r["name"] for r in hits.collect()} == {"a", "b"}  # all three have 0.5, ids decide
+
+
+def test_only_changed_input_is_done_again(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, "c"), (None, "x")], "item bigint, text string").withColumn("digest", queues.digest("text"))
+    later = spark.createDataFrame([(1, "a"), (2, ""), (3, "d"), (4, "new")], "item bigint, text string").withColumn("digest", queues.digest("text"))
+    assert sorted(r["item"] for r in queues.changed(later, rows).collect()) == [2, 3, 4]
+    assert queues.changed(rows, rows).count() == 0 and queues.changed(rows, rows.limit(0)).count() == 3
