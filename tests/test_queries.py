@@ -1,6 +1,7 @@
 """Every query with SQL against the SQL in DuckDB, on the smallest tables; every other one has to run."""
 
 import glob
+import json
 import math
 import os
 
@@ -74,3 +75,62 @@ def test_hybrid_search_recalls_beyond_rank_50(spark, tmp_path):
     got = {r["vec_id"]: r["rank"] for r in catalog.QUERIES["hybrid_search_200"](spark, str(tmp_path)).where("query_id = 20").collect()}
     assert got[20] == 1 and got[99] == 2
     assert 99 not in {r["vec_id"] for r in catalog.QUERIES["hybrid_search"](spark, str(tmp_path)).where("query_id = 20").collect()}
+
+
+def plain_records(text):
+    """Complete records by whole documents, else by lines."""
+    try:
+        value = json.loads(text)
+    except ValueError:
+        value = None
+    if value is not None:
+        return [r for r in (value if isinstance(value, list) else [value]) if isinstance(r, dict)]
+    if text.lstrip("﻿ \t\r\n")[:1] in ("{", "["):
+        decoder, out, at = json.JSONDecoder(), [], 0
+        while (at := text.find("{", at)) >= 0:
+            try:
+                r, at = decoder.raw_decode(text, at)
+                out.append(r)
+            except ValueError:
+                at += 1
+        return out
+    lines = [x.rstrip("\r").split("\t") for x in text.lstrip("﻿").split("\n") if x.strip()]
+    out, head = [], None
+    for cells in lines:
+        names = [c.strip().lstrip("#").strip() for c in cells]
+        if "rid" in names:
+            head = names
+        elif head and len(cells) == len(head):
+            out.append(dict(zip(head, cells)))
+    return out
+
+
+def test_records_of_small_files(spark):
+    import pandas as pd
+
+    want = set()
+    for text in pd.read_parquet(f"{DATA}/files.parquet")["content"].dropna():
+        want |= {str(r["rid"]).strip() for r in plain_records(text) if r.get("rid") not in (None, "")}
+    got = [r["rid"] for r in catalog.QUERIES["p5_found"](spark, DATA).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_salvaged_arrays(spark):
+    got = {r["merged_id"]: r["relations"] for r in catalog.QUERIES["json_salvage"](spark, DATA).collect()}
+    texts = {r["merged_id"]: r["relations"] for r in spark.read.parquet(f"{DATA}/merged.parquet").collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        try:
+            value = json.loads(text) if text else None
+        except ValueError:
+            continue
+        if isinstance(value, (list, dict)):
+            assert json.loads(got[i]) == (value if isinstance(value, list) else [value])
+
+
+def test_resolved_documents_and_their_statuses(spark):
+    kept = catalog.QUERIES["resolve_documents"](spark, DATA).collect()
+    ids = {r["go_id"] for r in spark.read.parquet(f"{DATA}/go_ref.parquet").collect()} | {r["accession"] for r in spark.read.parquet(f"{DATA}/uniprot_ref.parquet").collect()}
+    assert kept and all(r["id"] in ids for r in kept if r["type"] in ("GO", "gene", "protein"))
+    statuses = {(r["ontology"], r["status"]): r["n"] for r in catalog.QUERIES["resolve_statuses"](spark, DATA).collect()}
+    assert {o for o, _ in statuses} == {"go", "uniprot"} and all(s in ("matched", "empty", "refused", "failed") and n > 0 for (_, s), n in statuses.items())
