@@ -7,7 +7,8 @@ epoch the references and the existence. Epochs with positive references and no e
 `found_orphans` gives their rows, `orphan_report` their sums per table and month. `fold_counts` keeps the same counts per key without
 epochs, for the current report, batch by batch.
 
-A key may hold a third of all references. Keys are counted first, by partial counts, and those with more than their share of a
+The epochs of all keys are sent to the tasks where they are at most CORE_STEPS, which is counted; then references are not shuffled at all.
+Else they are joined, and as a key may hold a third of all references, keys are counted first, by partial counts, and those with more than their share of a
 task (HOT_PARTS a partition, so at most HOT_PARTS times the partitions of keys) are spread over as many salts as they have
 shares; only their epochs are copied, and no other key is.
 
@@ -24,21 +25,23 @@ from pyspark.sql import functions as F
 
 from litweave.session import cut
 
-BLANKS = r"^[\s\u0085\u00A0\u1680\u2000-\u200B\u2028\u2029\u202F\u205F\u3000\uFEFF]+|[\s\u0085\u00A0\u1680\u2000-\u200B\u2028\u2029\u202F\u205F\u3000\uFEFF]+$"
+# White space, no-break and zero-width blanks.
+BLANKS = " \t\n\x0b\f\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000\ufeff" + "".join(map(chr, range(0x2000, 0x200C)))
 HOT_PARTS = 4
+CORE_STEPS = 500_000
 EVER = "0001-01-01 00:00:00"
 
 
 def key_form(column: Column | str) -> Column:
     """Outer blanks trimmed, upper case, blank as null."""
     c = F.col(column) if isinstance(column, str) else column
-    k = F.upper(F.regexp_replace(c, BLANKS, ""))
+    k = F.upper(F.btrim(c, F.lit(BLANKS)))
     return F.when(k != "", k)
 
 
 def base_accession(key: Column) -> Column:
     """An accession without its isoform suffix."""
-    return F.regexp_replace(key, r"-\d+$", "")
+    return F.when(key.contains("-"), F.regexp_replace(key, r"-\d+$", "")).otherwise(key)
 
 
 def fold_counts(state: DataFrame, deltas: DataFrame, keys: tuple[str, ...] = ("key",)) -> DataFrame:
@@ -91,17 +94,21 @@ def hot_keys(refs: DataFrame, by: list[str], hot_parts: int = HOT_PARTS) -> Data
     return counts.where(F.col("n") > share).select(*by, "key", F.ceil(F.col("n") / max(share, 1.0)).cast("int").alias("salts"))
 
 
-def placed(refs: DataFrame, deltas: DataFrame, by: tuple[str, ...] = (), hot_parts: int = HOT_PARTS) -> DataFrame:
+def placed(refs: DataFrame, deltas: DataFrame, by: tuple[str, ...] = (), hot_parts: int = HOT_PARTS, core_steps: int = CORE_STEPS) -> DataFrame:
     """refs(by, row_id, key, at) with the epoch each falls into, its first moment, and the existence in it; both of no record: null and 0.
 
     A reference without a time is placed into the epoch with the most existence.
     """
-    spread = F.broadcast(cut(hot_keys(refs, list(by), hot_parts)))  # at most HOT_PARTS times as many rows as there are partitions
     on = [*by, "key"]
-    salts = F.coalesce("salts", F.lit(1))
-    spans = epochs(deltas, *by).join(spread, on, "left").select(*on, "spans", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-    salted = refs.join(spread, on, "left").withColumn("salt", F.pmod(F.xxhash64("row_id", "at"), salts).cast("int")).drop("salts")
-    met = salted.join(spans, [*on, "salt"], "left").drop("salt")
+    spans = cut(epochs(deltas, *by))
+    if spans.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0] <= core_steps:
+        met = refs.join(F.broadcast(spans), on, "left")
+    else:
+        spread = F.broadcast(cut(hot_keys(refs, list(by), hot_parts)))  # at most hot_parts times as many rows as there are partitions
+        salts = F.coalesce("salts", F.lit(1))
+        copied = spans.join(spread, on, "left").select(*on, "spans", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+        salted = refs.join(spread, on, "left").withColumn("salt", F.pmod(F.xxhash64("row_id", "at"), salts).cast("int")).drop("salts")
+        met = salted.join(copied, [*on, "salt"], "left").drop("salt")
     timeless = F.array_max(F.transform("spans", lambda s: F.struct(s["n"].alias("n"), s["from"].alias("from"))))
     begun = F.filter("spans", lambda s: s["from"] <= F.col("at"))
     latest = F.try_element_at(begun, F.lit(-1))
@@ -110,19 +117,19 @@ def placed(refs: DataFrame, deltas: DataFrame, by: tuple[str, ...] = (), hot_par
     return met.select(*by, "row_id", "key", "at", epoch.alias("epoch"), F.coalesce(there, F.lit(0)).alias("exists"))
 
 
-def epoch_counts(refs: DataFrame, deltas: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+def epoch_counts(refs: DataFrame, deltas: DataFrame, by: tuple[str, ...] = (), core_steps: int = CORE_STEPS) -> DataFrame:
     """(by, key, epoch, refs, exists): the signed counts folded per key and epoch."""
-    return placed(refs, deltas, by).groupBy(*by, "key", "epoch").agg(F.count("*").alias("refs"), F.first("exists").alias("exists"))
+    return placed(refs, deltas, by, core_steps=core_steps).groupBy(*by, "key", "epoch").agg(F.count("*").alias("refs"), F.first("exists").alias("exists"))
 
 
-def found_orphans(refs: DataFrame, deltas: DataFrame, by: tuple[str, ...] = (), hot_parts: int = HOT_PARTS) -> DataFrame:
+def found_orphans(refs: DataFrame, deltas: DataFrame, by: tuple[str, ...] = (), hot_parts: int = HOT_PARTS, core_steps: int = CORE_STEPS) -> DataFrame:
     """(by, row_id, key, at) of the references in epochs without existence; each is itself the positive reference of its epoch."""
-    return placed(refs, deltas, by, hot_parts).where("exists <= 0").select(*by, "row_id", "key", "at")
+    return placed(refs, deltas, by, hot_parts, core_steps).where("exists <= 0").select(*by, "row_id", "key", "at")
 
 
-def orphan_rows(rows: DataFrame, row_id: str, key: Column, at: str, records: DataFrame, record_key: str, loaded: str, retired: str | None = None, hot_parts: int = HOT_PARTS) -> DataFrame:
+def orphan_rows(rows: DataFrame, row_id: str, key: Column, at: str, records: DataFrame, record_key: str, loaded: str, retired: str | None = None, hot_parts: int = HOT_PARTS, core_steps: int = CORE_STEPS) -> DataFrame:
     """(row_id, key, at) of the rows of one table whose key has no record at the row's time."""
-    return found_orphans(referring(rows, row_id, key, at), existence_deltas(records, record_key, loaded, retired), hot_parts=hot_parts)
+    return found_orphans(referring(rows, row_id, key, at), existence_deltas(records, record_key, loaded, retired), (), hot_parts, core_steps)
 
 
 def orphan_report(rows: DataFrame) -> DataFrame:

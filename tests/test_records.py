@@ -18,10 +18,10 @@ def day(n):
 # --- orphans
 
 
-def orphan_ids(spark, refs, records, salts=3):
+def orphan_ids(spark, refs, records, salts=3, core_steps=0):
     r = spark.createDataFrame(refs, "row_id bigint, k string, at timestamp, key string, salt string")
     e = spark.createDataFrame(records, "id string, loaded timestamp, retired timestamp")
-    out = orphans.orphan_rows(r, "row_id", orphans.key_form("k"), "at", e, "id", "loaded", "retired", salts)
+    out = orphans.orphan_rows(r, "row_id", orphans.key_form("k"), "at", e, "id", "loaded", "retired", salts, core_steps)
     return sorted(x["row_id"] for x in out.collect())
 
 
@@ -46,6 +46,18 @@ def test_orphans_random(spark):
     refs = [(i, f"K{r.randint(0, 8)}", day(r.randint(1, 28)), None, None) for i in range(300)]
     want = [i for i, k, t, *_ in refs if not any(a.upper() == k and b <= t and (c is None or c > t) for a, b, c in records)]
     assert orphan_ids(spark, refs, records) == want
+    assert orphan_ids(spark, refs, records, core_steps=1000) == want
+    hot = [(i, "k1", day(i % 25 + 1), None, None) for i in range(1000, 1400)]  # more than half of all
+    want += [i for i, k, t, *_ in hot if not any(a == k and b <= t and (c is None or c > t) for a, b, c in records)]
+    assert orphan_ids(spark, refs + hot, records) == want
+
+
+def test_epoch_counts(spark):
+    refs = spark.createDataFrame([(1, "A", day(1)), (2, "A", day(3)), (3, "A", day(3)), (4, "A", day(9)), (5, "B", day(1)), (6, "A", None)], "row_id bigint, key string, at timestamp")
+    deltas = orphans.existence_deltas(spark.createDataFrame([("a", day(2), day(5)), ("A", day(2), None)], "id string, loaded timestamp, retired timestamp"), "id", "loaded", "retired")
+    for steps in (0, 1000):
+        got = sorted((r["key"], r["refs"], r["exists"]) for r in orphans.epoch_counts(orphans.referring(refs, "row_id", orphans.key_form("key"), "at"), deltas, core_steps=steps).collect())
+        assert got == [("A", 1, 0), ("A", 1, 1), ("A", 3, 2), ("B", 1, 0)]
 
 
 def test_counts_fold(spark):
