@@ -107,9 +107,10 @@ class Trie:
     """Words or whole names; `near` walks it in step with a Levenshtein automaton and returns all within a distance.
 
     The automaton is run as bit masks, one for none, one and two errors each: bit i is set if the first i letters of the
-    pattern can be read with so many errors. Of two halves of a pattern one has at
-    most half of the errors. So the trie is walked twice, forward and, as a trie of the reversed words, backward, each time
-    with no more than that in the first half read; a word within the distance is met by one of the walks.
+    pattern can be read with so many errors. Of as many parts of a
+    pattern as there may be errors and one more, one has none. So the trie is walked forward from the end of a first part without
+    errors and, as a trie of the reversed words, backward from a last one; if the errors are in both, the part between has none, so a
+    forward walk with one error up to its end finds the word. Most of the trie stays unvisited.
     """
 
     def __init__(self, words: set[str]):
@@ -127,26 +128,34 @@ class Trie:
         return root
 
     def near(self, pattern: str, most: int, firm: int = 0, swaps: bool = False) -> list[tuple[int, str]]:
-        """(distance, word) of all words within `most`, in order; words with errors in the last `firm` letters may be left out. With `swaps` two letters that changed places are one error."""
+        """(distance, word) of all words within `most`, at most 2, in order; words with errors in the last `firm` letters may be left out. With `swaps` two letters that changed places are one error."""
         if most == 0:
             return [(0, pattern)] if pattern in self.words else []
-        half = (len(pattern) - firm) // 2
-        found = {w: e for e, w in self.walk(self.forward, pattern, most, half, 0, swaps)}
-        found |= {w[::-1]: e for e, w in self.walk(self.backward, pattern[::-1], most, len(pattern) - half, firm, swaps)}
+        own = len(pattern) - firm
+        part = own // (most + 1)
+        found = {w: e for e, w in self.walk(self.forward, pattern, most, part, 0, swaps)}
+        found |= {w[::-1]: e for e, w in self.walk(self.backward, pattern[::-1], most, firm + (own - part if most == 1 else part), 0, swaps)}
+        if most == 2:
+            found |= {w: e for e, w in self.walk(self.forward, pattern, most, 0, own - part, swaps)}
         return sorted((e, w) for w, e in found.items())
 
     @staticmethod
-    def walk(root: dict, pattern: str, most: int, half: int, firm: int, swaps: bool) -> list[tuple[int, str]]:
+    def walk(root: dict, pattern: str, most: int, exact: int, late: int, swaps: bool) -> list[tuple[int, str]]:
+        """Words that agree in the first `exact` letters, and have a second error from letter `late` on only."""
+        node = root
+        skip = max(0, exact - 1)  # the last of them may have changed places with the next one
+        for c in pattern[:skip]:
+            if (node := node.get(c)) is None:
+                return []
         m = len(pattern)
         at: dict[str, int] = {}
         for i, c in enumerate(pattern):
             at[c] = at.get(c, 0) | 1 << i
         full, last = (1 << (m + 1)) - 1, 1 << m
-        late, soft = full & ~((1 << half) - 1), full & ~((1 << firm) - 1)
-        open1 = soft & (full if most > 1 else late)
-        open2 = soft & late if most > 1 else 0
+        open1 = full & ~((1 << exact) - 1)
+        open2 = open1 & ~((1 << late) - 1) if most > 1 else 0
         found: list[tuple[int, str]] = []
-        stack = [(root, 1, 3 & open1, 7 & open2, 0, 0)]
+        stack = [(node, 1 << skip, (3 << skip) & open1, (7 << skip) & open2, 0, 0)]
         get = at.get
         while stack:
             node, s0, s1, s2, t0, t1 = stack.pop()
