@@ -40,23 +40,25 @@ def match(queries: DataFrame, query: str, reference: DataFrame, name: str, value
     longest = ref.agg(F.max(F.size(F.split("name", " "))), F.max(F.length("name"))).first()
     most_words, most_chars = (max(1, n or 0) for n in longest)
     q = cut(queries.select(F.col(query).alias("query")).dropna().distinct().withColumn("name", normal_name(F.col("query"))))
+    names = ref.withColumnRenamed("name", "phrase")
+    parts = runs(ref, "name", most_words).select("phrase", "value")
+    known_names, known_parts = names.select("phrase").distinct(), parts.select("phrase").distinct()
     out = []
 
-    def done(found: DataFrame, strategy: str) -> DataFrame:
-        found = cut(found.select("query", F.lit(strategy).alias("strategy"), "value"))
-        out.append(found)
-        return found.select("query").distinct()
+    def rest(matched: DataFrame, found: DataFrame, strategy: str) -> DataFrame:
+        """What is left after a strategy. Only that is written: values are joined once, where the result is read."""
+        out.append(found.select("query", F.lit(strategy).alias("strategy"), "value"))
+        return cut(left.join(matched.select("query").distinct(), "query", "left_anti"))
 
-    left = q.join(done(q.join(ref, "name"), "exact"), "query", "left_anti")
-    own = runs(left, "name", most_words).drop("name")
-    names = ref.withColumnRenamed("name", "phrase")
-    hits = own.join(names, "phrase")
+    left = q
+    left = rest(left.join(ref, "name", "left_semi"), left.join(ref, "name"), "exact")
+    hits = runs(left, "name", most_words).drop("name").join(known_names, "phrase", "left_semi")
     longest = hits.groupBy("query").agg(F.max("n").alias("n"))
-    left = left.join(done(hits.join(longest, ["query", "n"]), "ngram"), "query", "left_anti")
-    parts = runs(ref, "name", most_words).select("phrase", "value")
-    left = left.join(done(left.join(parts, left["query"] == parts["phrase"]), "part"), "query", "left_anti")
+    left = rest(hits, hits.join(longest, ["query", "n"]).join(names, "phrase"), "ngram")
+    whole = left.select("query", F.col("query").alias("phrase"))
+    left = rest(whole.join(known_parts, "phrase", "left_semi"), whole.join(parts, "phrase"), "part")
     own = runs(left, "name", most_words).drop("name")
-    left = cut(left.join(done(own.join(parts, "phrase"), "parts"), "query", "left_anti"))
+    left = rest(own.join(known_parts, "phrase", "left_semi"), own.join(parts, "phrase"), "parts")
     for end in (False, True):
         mine, theirs = affixes(left, "name", end, most_chars), affixes(ref, "name", end, most_chars)
         shared = mine.select("query", "n", "affix").join(theirs.select("affix").distinct(), "affix", "left_semi")
